@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -33,25 +35,35 @@ def network_prefix(ip: Column) -> Column:
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with `value` computed once, so the expression stays small."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _octets_hex(ip: Column) -> Column:
-    parts = [F.lpad(F.hex(F.split_part(ip, F.lit("."), F.lit(i)).try_cast("int")), 2, "0") for i in range(1, 5)]
-    return F.lower(F.concat(*parts))
+    parts = F.transform(F.split(ip, r"\."), lambda part: F.lpad(F.hex(part.try_cast("int")), 2, "0"))
+    return F.lower(F.array_join(parts, ""))
+
+
+def _tail_as_hextets(body: Column) -> Column:
+    """A dotted tail rewritten as two groups."""
+    tail_at = F.length(body) - F.length(F.substring_index(body, ":", -1)) + 1
+    octets = _octets_hex(F.substring_index(body, ":", -1))
+    groups = _let(octets, lambda o: F.concat(o.substr(1, 4), F.lit(":"), o.substr(5, 4)))
+    return F.when(body.contains("."), F.concat(body.substr(F.lit(1), tail_at - 1), groups)).otherwise(body)
 
 
 def _hextets_hex(ip: Column) -> Column:
-    body = F.lower(F.split_part(ip, F.lit("%"), F.lit(1)))
-    tail = F.regexp_extract(body, r"(" + _IPV4_BODY + r")\z", 1)
-    tail_hex = _octets_hex(tail)
-    dotted = F.concat(
-        body.substr(F.lit(1), F.length(body) - F.length(tail)),
-        tail_hex.substr(1, 4), F.lit(":"), tail_hex.substr(5, 4),
-    )
-    padded = F.when(tail != "", dotted).otherwise(body)
+    padded = _tail_as_hextets(F.lower(F.split_part(ip, F.lit("%"), F.lit(1))))
     for digits in (3, 2, 1):
         padded = F.regexp_replace(padded, r"\b([0-9a-f]{" + str(digits) + r"})\b", "0" * (4 - digits) + "$1")
-    left = F.replace(F.split_part(padded, F.lit("::"), F.lit(1)), F.lit(":"), F.lit(""))
-    right = F.replace(F.split_part(padded, F.lit("::"), F.lit(2)), F.lit(":"), F.lit(""))
-    return F.concat(left, F.repeat(F.lit("0"), 32 - F.length(left) - F.length(right)), right)
+
+    def fill(halves: Column) -> Column:
+        left, right = halves[0], F.coalesce(F.get(halves, F.lit(1)), F.lit(""))
+        return F.concat(left, F.repeat(F.lit("0"), 32 - F.length(left) - F.length(right)), right)
+
+    halves = F.transform(F.split(padded, "::"), lambda half: F.replace(half, F.lit(":"), F.lit("")))
+    return _let(halves, fill)
 
 
 def address_key(ip: Column) -> Column:
@@ -63,9 +75,12 @@ def address_key(ip: Column) -> Column:
 
 def lookup_key(ip: Column) -> Column:
     """address_key, with IPv4-mapped IPv6 addresses looked up as IPv4."""
-    key = address_key(ip)
-    mapped = key.startswith("6" + "0" * 20 + "ffff")
-    return F.when(mapped, F.concat(F.lit("4"), key.substr(26, 8))).otherwise(key)
+
+    def unmap(key: Column) -> Column:
+        mapped = key.startswith("6" + "0" * 20 + "ffff")
+        return F.when(mapped, F.concat(F.lit("4"), key.substr(26, 8))).otherwise(key)
+
+    return _let(address_key(ip), unmap)
 
 
 def masked_key(key: Column, prefix_length: Column) -> Column:

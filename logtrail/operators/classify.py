@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from logtrail.functions.identity import map_value
 from logtrail.functions.jsontext import strict_json_lines, truthy, value_text
+from logtrail.operators.once import compute_once
 from logtrail.schemas import OBSOLETE_COLUMNS
 
 # Names of the operational events and the text of a served site.
@@ -30,7 +31,8 @@ OTHER_REASON = "classificacao_indefinida"
 
 def with_operational_events(records: DataFrame) -> DataFrame:
     """Add `ops`: the operational JSON lines of the execution, in line order."""
-    return records.withColumn("ops", strict_json_lines(F.coalesce("block_text", F.lit(""))))
+    ops = strict_json_lines(F.coalesce("block_text", F.lit("")))
+    return records.withColumn("ops", ops).transform(compute_once, ["ops"])
 
 
 def last_event(name: str) -> Column:
@@ -53,27 +55,26 @@ def classify_accesses(records: DataFrame) -> DataFrame:
             "active_site_untrusted_access": last_event(UNTRUSTED_ON_ACTIVE).isNotNull(),
         }
     )
-    facts = base.withColumns(
-        {
-            "origem_eventbridge": truthy(F.col("_execution"), "$.origem_eventbridge"),
-            "_temp_item": truthy(F.col("_execution"), "$.temp_item"),
-            "_active_items": F.coalesce(
-                F.try_variant_get(F.col("_execution"), "$.active_items", "double").try_cast("int"), F.lit(0)
-            ),
-            "status_confianca": F.when(F.col("_decision").isNull(), "")
-            .when(truthy(F.col("_decision"), "$.trusted"), "trusted")
-            .otherwise("untrusted"),
-            "motivo_confianca": _text("_decision", "reason"),
-            "decision_user_agent": _text("_decision", "user_agent"),
-            "disparou_destroy": F.col("_destroy").isNotNull(),
-            "last_accessed_at": _text("_destroy", "last_accessed_at"),
-            "expiration_time": _text("_destroy", "expiration_time"),
-            "bucket_name": F.coalesce(
-                F.nullif(_text("_destroy", "bucket"), F.lit("")), _text("_execution", "bucket")
-            ),
-            "serviu_site": F.lower(F.coalesce("block_text", F.lit(""))).contains(SITE_SERVED_TEXT),
-        }
-    )
+    computed = {
+        "origem_eventbridge": truthy(F.col("_execution"), "$.origem_eventbridge"),
+        "_temp_item": truthy(F.col("_execution"), "$.temp_item"),
+        "_active_items": F.coalesce(
+            F.try_variant_get(F.col("_execution"), "$.active_items", "double").try_cast("int"), F.lit(0)
+        ),
+        "status_confianca": F.when(F.col("_decision").isNull(), "")
+        .when(truthy(F.col("_decision"), "$.trusted"), "trusted")
+        .otherwise("untrusted"),
+        "motivo_confianca": _text("_decision", "reason"),
+        "decision_user_agent": _text("_decision", "user_agent"),
+        "disparou_destroy": F.col("_destroy").isNotNull(),
+        "last_accessed_at": _text("_destroy", "last_accessed_at"),
+        "expiration_time": _text("_destroy", "expiration_time"),
+        "bucket_name": F.coalesce(
+            F.nullif(_text("_destroy", "bucket"), F.lit("")), _text("_execution", "bucket")
+        ),
+        "serviu_site": F.lower(F.coalesce("block_text", F.lit(""))).contains(SITE_SERVED_TEXT),
+    }
+    facts = base.withColumns(computed).transform(compute_once, [*computed, "disparou_apply", "active_site_untrusted_access"])
     apply, destroy, scheduled = F.col("disparou_apply"), F.col("disparou_destroy"), F.col("origem_eventbridge")
     untrusted_on_active, served = F.col("active_site_untrusted_access"), F.col("serviu_site")
     status = F.col("status_confianca")

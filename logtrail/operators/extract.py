@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from logtrail.functions.jsontext import balanced_object, parse_json, text_from, value_text
 from logtrail.functions.timeparts import MAX_EPOCH_MS, MIN_EPOCH_MS, iso_zulu
+from logtrail.operators.once import compute_once
 
 # The marker before the request JSON, the error texts, the status values.
 MARKER = "Evento recebido:"
@@ -99,7 +100,7 @@ def extract_accesses(blocks: DataFrame) -> DataFrame:
             "_http": F.try_variant_get(event, "$.requestContext.http", "map<string,string>"),
             "event_ts": access_time(event, F.col("start_ts").cast("timestamp")),
         }
-    )
+    ).transform(compute_once, ["event", "parse_error", "_headers", "_http", "event_ts"])
     http = F.col("_http")
     return parsed.select(
         "request_id",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logtrail.functions import addresses, networks
+from logtrail.operators.once import compute_once
 from logtrail.schemas import GEO_FIELDS, GEO_RECORD_SCHEMA
 
 CITY_FIELDS = [name for name in GEO_FIELDS if name != "org"]
@@ -40,41 +41,55 @@ def network_table(blocks: DataFrame) -> DataFrame:
     )
 
 
-def longest_prefix_match(ips: DataFrame, blocks: DataFrame, fields: list[str]) -> DataFrame:
-    """Each address with the fields of its most specific network; unmatched ones are absent.
+def longest_prefix_match(ips: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Each address with, per table, a struct of its most specific network's fields.
 
-    An address yields one candidate per prefix length that occurs in its family
-    (at most 33 or 129), and candidates meet networks in an equi-join. The work
-    grows with addresses times lengths, whatever the networks' nesting or density.
+    Tables are looked up independently of each other but in one pass; a struct is
+    null where nothing matched. An address yields one candidate per prefix length
+    that occurs in its family (at most 33 or 129), and candidates meet networks in
+    an equi-join. The work grows with addresses times lengths, whatever the
+    networks' nesting or density.
     """
-    table = network_table(blocks).select("family", "prefix_length", "prefix", *fields)
+    table = None
+    for name, blocks in tables.items():
+        fields = [field for field in blocks.columns if field != "network"]
+        rows = network_table(blocks).select("family", "prefix_length", "prefix", F.struct(*fields).alias(name))
+        table = rows if table is None else table.unionByName(rows, allowMissingColumns=True)
     # Two rows at most, with at most 129 integers: a bound of the address format.
     lengths = table.groupBy("family").agg(F.collect_set("prefix_length").alias("lengths"))
-    key = addresses.lookup_key(F.col("ip"))
     candidates = (
-        ips.select("ip", key.alias("_key"))
-        .where(F.col("_key").isNotNull())
+        ips.select("ip", addresses.lookup_key(F.col("ip")).alias("_key"))
+        .transform(compute_once, ["_key"])
         .withColumn("family", F.col("_key").substr(1, 1))
-        .join(F.broadcast(lengths), "family")
-        .select("ip", "_key", "family", F.explode("lengths").alias("prefix_length"))
+        .join(F.broadcast(lengths), "family", "left")
+        .select("ip", "_key", "family", F.explode_outer("lengths").alias("prefix_length"))
         .withColumn("prefix", addresses.masked_key(F.col("_key"), F.col("prefix_length")))
     )
-    hits = candidates.join(table, ["family", "prefix_length", "prefix"])
-    best = F.max_by(F.struct(*fields), "prefix_length").alias("hit")
-    return hits.groupBy("ip").agg(best).select("ip", "hit.*")
+    hits = candidates.join(table, ["family", "prefix_length", "prefix"], "left")
+    best = [F.max_by(name, F.when(F.col(name).isNotNull(), F.col("prefix_length"))).alias(name) for name in tables]
+    return hits.groupBy("ip").agg(*best)
 
 
 def lookup_networks(ips: DataFrame, city_blocks: DataFrame, asn_blocks: DataFrame) -> DataFrame:
-    """City and owner of each address, looked up independently: a geo record per address.
+    """City and owner of each address: a geo record per address.
 
     An address in neither table keeps all fields null ("known, no data").
     """
-    city = longest_prefix_match(ips, city_blocks, CITY_FIELDS)
-    asn = longest_prefix_match(ips, asn_blocks, ["asn_number", "asn_name"]).select(
-        "ip", networks.asn_org(F.col("asn_number"), F.col("asn_name")).alias("org")
+    found = longest_prefix_match(
+        ips,
+        {
+            "city_hit": city_blocks.select("network", *CITY_FIELDS),
+            "asn_hit": asn_blocks.select("network", "asn_number", "asn_name"),
+        },
     )
-    matched = city.withColumns({name: F.coalesce(name, F.lit("")) for name in TEXT_FIELDS})
-    return ips.join(matched, "ip", "left").join(asn, "ip", "left").select(*GEO_RECORD_SCHEMA.fieldNames())
+    has_city, has_asn = F.col("city_hit").isNotNull(), F.col("asn_hit").isNotNull()
+
+    def field(name: str) -> Column:
+        value = F.col(f"city_hit.{name}")
+        return F.when(has_city, F.coalesce(value, F.lit(""))) if name in TEXT_FIELDS else value
+
+    org = networks.asn_org(F.col("asn_hit.asn_number"), F.col("asn_hit.asn_name"))
+    return found.select("ip", *[field(name).alias(name) for name in CITY_FIELDS], F.when(has_asn, org).alias("org"))
 
 
 def extend_cache(ips: DataFrame, cache: DataFrame, city_blocks: DataFrame, asn_blocks: DataFrame) -> DataFrame:
