@@ -70,6 +70,7 @@ def assemble(marked: DataFrame) -> DataFrame:
     """Group the lines of each execution and join them in order.
 
     The group is exactly one execution, so its size is that of one output text.
+    Two technical columns stay: start_t and start_event_id, the key of the START.
     """
     closes = F.col("end_id") == F.col("start.request_id")
     grouped = marked.groupBy(
@@ -93,8 +94,11 @@ def assemble(marked: DataFrame) -> DataFrame:
         F.when(F.col("end.t") != NO_TIME, F.timestamp_micros("end.t")).alias("end_ts"),
         F.col("end").isNotNull().alias("block_closed"),
         F.array_join(F.transform(inside, lambda line: line["message"]), "\n").alias("block_text"),
-    ).select(*BLOCK_COLUMNS)
+        "start_t",
+        "start_event_id",
+    )
 
 
 def reconstruct_blocks(events: DataFrame, chunk: str = "1 hour") -> DataFrame:
-    return assemble(assign_starts(log_lines(events), chunk))
+    """Deduplicated Bronze rows -> the seven block columns."""
+    return assemble(assign_starts(log_lines(events), chunk)).select(*BLOCK_COLUMNS)

@@ -30,12 +30,12 @@ def uncached_ips(ips: DataFrame, cache: DataFrame) -> DataFrame:
 def network_table(blocks: DataFrame) -> DataFrame:
     """Rows with `network` (CIDR text) -> the same rows keyed by family, prefix length, prefix."""
     address = F.split_part("network", F.lit("/"), F.lit(1))
-    key = addresses.address_key(address)
+    length = F.split_part("network", F.lit("/"), F.lit(2)).try_cast("int")
     return (
-        blocks.withColumn("_address_key", key)
-        .withColumn("family", F.col("_address_key").substr(1, 1))
-        .withColumn("prefix_length", F.split_part("network", F.lit("/"), F.lit(2)).try_cast("int"))
+        blocks.withColumns({"_address_key": addresses.address_key(address), "prefix_length": length})
+        .transform(compute_once, ["_address_key", "prefix_length"])
         .where(F.col("_address_key").isNotNull() & F.col("prefix_length").isNotNull())
+        .withColumn("family", F.col("_address_key").substr(1, 1))
         .withColumn("prefix", addresses.masked_key(F.col("_address_key"), F.col("prefix_length")))
         .drop("_address_key")
     )

@@ -31,18 +31,17 @@ STAGE = "bronze_to_silver"
 OPEN_SCHEMA = "log_stream string, start_ts timestamp"
 
 
-def access_core(bronze: DataFrame, chunk: str = "1 hour") -> DataFrame:
-    """Bronze rows -> classified accesses with visitor columns; the wide text ends here."""
+def accesses_of(blocks: DataFrame) -> DataFrame:
+    """Executions -> classified accesses with visitor columns; the wide text ends here."""
     return (
-        dedup_events(bronze)
-        .transform(reconstruct_blocks, chunk)
-        .transform(extract_accesses)
-        .transform(classify_accesses)
-        .transform(enrich_visitors)
-        .drop("block_text")
+        extract_accesses(blocks).transform(classify_accesses).transform(enrich_visitors).drop("block_text")
     )
 
 
+def access_core(bronze: DataFrame, chunk: str = "1 hour") -> DataFrame:
+    return dedup_events(bronze).transform(reconstruct_blocks, chunk).transform(accesses_of)
+
+
 @dataclass(frozen=True)
 class GeoInputs:
     city_blocks: DataFrame
@@ -68,23 +67,38 @@ def build_silver(
     chunk: str = "1 hour",
     history: DataFrame | None = None,
 ) -> SilverResult:
-    """The Silver records of one batch.
+    """The Silver records of one batch of Bronze rows."""
+    return finish_silver(access_core(bronze, chunk), geo_inputs, chunk, history)
+
+
+def finish_silver(
+    accesses: DataFrame,
+    geo_inputs: GeoInputs,
+    chunk: str = "1 hour",
+    history: DataFrame | None = None,
+) -> SilverResult:
+    """Sessions, inherited visitors, deduplication, geolocation.
 
     The core is written once to the shared folder: the session summary, the
     bucket argmax, the distinct addresses and the main pass each read only their
     own columns of it. Deduplication runs before the geo joins; geo columns
     depend on the address alone, so the result is the same with fewer rows joined.
     """
-    core = write_stage(access_core(bronze, chunk), "access-core")
+    core = write_stage(accesses, "access-core")
     sessions = assign_sessions(core, chunk, source=core, history=history)
     unique = dedup_accesses(propagate_visitors(sessions, source=core))
-    geo = write_stage(
-        extend_cache(distinct_ips(core), geo_inputs.cache, geo_inputs.city_blocks, geo_inputs.asn_blocks), "geo"
-    )
+    ips = distinct_ips(core)
+    geo = write_stage(extend_cache(ips, geo_inputs.cache, geo_inputs.city_blocks, geo_inputs.asn_blocks), "geo")
     records = compare_sources(enrich_geo(unique, geo), geo_inputs.second)
     return SilverResult(core, records, geo)
 
 
+def session_history(silver: DataFrame) -> DataFrame:
+    """Rows of the Silver table that open or close a cycle; the flags are pushed to its scan."""
+    timed = silver.withColumn("event_ts", parse_utc(F.col("timestamp_utc")))
+    return boundaries(timed.withColumn("start_ts", F.col("event_ts")))
+
+
 def open_executions(core: DataFrame, stale_after: str = "1 day") -> DataFrame:
     """Streams whose last execution has not ended yet, with its start.
 
@@ -140,8 +154,7 @@ def run_silver(
     last_open = _latest_open(spark, open_base, ledger_path)
     if last_open is not None:
         bronze = bronze.unionByName(_reread(read_bronze(spark, bronze_base), last_open))
-    silver = read_silver(spark, silver_base).withColumn("event_ts", parse_utc(F.col("timestamp_utc")))
-    history = boundaries(silver.withColumn("start_ts", F.col("event_ts")))
+    history = session_history(read_silver(spark, silver_base))
     cache = read_geo_cache(spark, f"{control_base}/geo_cache")
     second = second_source_records(second_responses)
     result = build_silver(bronze, GeoInputs(city_blocks, asn_blocks, cache, second), chunk, history)
