@@ -24,7 +24,8 @@ _WHOLE = r"(?s)\A" + _BALANCED + r"\z"
 _TOKENS = r'(?s)(\\.?|"(?:[^"\\]++|\\.)*+"?|[{}]|[^\\"{}]++)'
 
 # Line ends and trailing white space as the producer's text rules see them.
-LINE_BREAK = "\\r\\n|[\\n\\x0b\\f\\r\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
+# A pair of carriage return and line feed only adds an empty line, which holds no JSON.
+LINE_BREAK = "[\\n\\x0b\\f\\r\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 _TRAILING_SPACE = "[\\s\\x1c-\\x1f\\x85\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]++\\z"
 
 
@@ -49,15 +50,25 @@ def balanced_end(raw: Column) -> Column:
     return F.aggregate(F.regexp_extract_all(raw, F.lit(_TOKENS), F.lit(1)), start, step, lambda s: s["end"])
 
 
-def balanced_object(raw: Column) -> Column:
+def quick_object(raw: Column) -> Column:
+    """The balanced object at the start of `raw` if its nesting is ordinary, else ''."""
+    return F.regexp_extract(raw, _AT_START, 0)
+
+
+def scanned_object(raw: Column) -> Column:
+    """The balanced object at the start of `raw` at any depth, '' when it never closes."""
+    return raw.substr(F.lit(1), balanced_end(raw))
+
+
+def balanced_object(raw: Column, quick: Column | None = None) -> Column:
     """The balanced object at the start of `raw`, '' when it never closes.
 
-    Strings and escapes are honoured. Ordinary nesting is one regex match; the
-    token scan runs only where that finds nothing.
+    Strings and escapes are honoured. Ordinary nesting is one regex match, which
+    may be passed in as a column computed before; the token scan runs only where
+    that finds nothing.
     """
-    quick = F.regexp_extract(raw, _AT_START, 0)
-    end = balanced_end(raw)
-    return F.when(quick != "", quick).otherwise(raw.substr(F.lit(1), end))
+    found = quick_object(raw) if quick is None else quick
+    return F.when(found != "", found).otherwise(scanned_object(raw))
 
 
 def is_one_object(candidate: Column) -> Column:
@@ -89,10 +100,14 @@ def strict_json_lines(text: Column) -> Column:
     """Objects that have an `event` key, from lines that are pure JSON from their
     first brace on, in line order: array<struct<event, doc>>."""
     lines = F.split(text, LINE_BREAK)
+
+    def trimmed(line: Column) -> Column:
+        return F.when(line.endswith("}"), line).otherwise(F.regexp_replace(line, _TRAILING_SPACE, ""))
+
     candidates = F.transform(
         # The key can only be spelt plainly or with an escape.
         F.filter(lines, lambda line: line.contains('"event"') | line.contains("\\u")),
-        lambda line: F.regexp_replace(text_from(line, F.locate("{", line)), _TRAILING_SPACE, ""),
+        lambda line: trimmed(text_from(line, F.locate("{", line))),
     )
     strict = F.filter(candidates, lambda c: c.startswith("{") & is_one_object(c))
     docs = F.filter(F.transform(strict, parse_json), lambda doc: doc.isNotNull())

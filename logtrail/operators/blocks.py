@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logtrail.functions.timeparts import event_time
 from logtrail.operators.carry import CHUNK, Mark, running_last
 from logtrail.schemas import BLOCK_COLUMNS
 
-# The two line patterns that delimit an execution.
-START_PATTERN = r"START RequestId:\s*(\S+)"
-END_PATTERN = r"END RequestId:\s*(\S+)"
+# The marks that delimit an execution, and the id behind a mark.
+START_MARK = "START RequestId:"
+END_MARK = "END RequestId:"
+ID_AFTER_MARK = r"\s*(\S+)"
 
 # Lines without a time sort after all others of their stream.
 NO_TIME = 2**63 - 1
 
 
+def request_id_after(mark: str, message: Column) -> Column:
+    """The id behind the mark, '' without one. Most lines lack the mark and skip the regex."""
+    return F.when(message.contains(mark), F.regexp_extract(message, mark + ID_AFTER_MARK, 1)).otherwise("")
+
+
 def log_lines(events: DataFrame) -> DataFrame:
     """Deduplicated Bronze rows -> the columns block assembly needs.
 
@@ -44,7 +50,7 @@ def assign_starts(lines: DataFrame, chunk: str = "1 hour") -> DataFrame:
     execution are cut where START and END lie in the same chunk; the few that
     cross a chunk border are cut in assemble().
     """
-    start_id = F.regexp_extract("message", START_PATTERN, 1)
+    start_id = request_id_after(START_MARK, F.col("message"))
     start = Mark("start", start_id != "", [start_id.alias("request_id"), F.col("log_group").alias("log_group")])
 
     def cut_after_end(chunked: DataFrame) -> DataFrame:
@@ -52,7 +58,7 @@ def assign_starts(lines: DataFrame, chunk: str = "1 hour") -> DataFrame:
         before = spec.rowsBetween(Window.unboundedPreceding, -1)
         starts_here = (F.col("start.t") == F.col("t")) & (F.col("start.event_id") == F.col("event_id"))
         with_end = chunked.withColumn(
-            "end_id", F.when(starts_here, "").otherwise(F.regexp_extract("message", END_PATTERN, 1))
+            "end_id", F.when(starts_here, "").otherwise(request_id_after(END_MARK, F.col("message")))
         )
         closes = F.col("end_id") == F.col("start.request_id")
         closed = F.last(F.when(closes, F.struct("start.t", "start.event_id")), ignorenulls=True).over(before)

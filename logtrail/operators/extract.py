@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logtrail.functions.jsontext import balanced_object, parse_json, text_from, value_text
+from logtrail.functions.jsontext import balanced_object, parse_json, quick_object, text_from, value_text
 from logtrail.functions.timeparts import MAX_EPOCH_MS, MIN_EPOCH_MS, iso_zulu
 from logtrail.operators.once import compute_once
 
@@ -53,7 +53,8 @@ def with_event_json(blocks: DataFrame) -> DataFrame:
     return (
         blocks.withColumn("_tail", tail)
         .withColumn("_raw", F.when(brace_at > 0, text_from(F.col("_tail"), brace_at)))
-        .withColumn("_json", balanced_object(F.col("_raw")))
+        .withColumn("_quick", quick_object(F.col("_raw")))
+        .withColumn("_json", balanced_object(F.col("_raw"), F.col("_quick")))
         .withColumn("event", parse_json(F.nullif(F.col("_json"), F.lit(""))))
         .withColumn(
             "parse_error",
@@ -63,7 +64,7 @@ def with_event_json(blocks: DataFrame) -> DataFrame:
             .when(F.col("event").isNull(), BAD_JSON)
             .otherwise(""),
         )
-        .drop("_tail", "_raw", "_json")
+        .drop("_tail", "_raw", "_quick", "_json")
     )
 
 

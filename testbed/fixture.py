@@ -39,6 +39,10 @@ OWNERS = {
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if raw.rdd.getNumPartitions() < cores:
+        # A small file is one scan task; the lines made from it should use all cores.
+        raw = raw.repartition(cores, "event_id")
     return raw.select(
         F.col("event_id").alias("e"),
         F.col("user_id").alias("u"),
