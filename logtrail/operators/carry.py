@@ -16,6 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CHUNK = "_chunk"
+# Chunk widths to choose from, and the rows one chunk should hold at most.
+WIDTHS = ["1 hour", "10 minutes", "1 minute", "10 seconds", "1 second"]
+TARGET_ROWS = 1_000_000
 MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
 
@@ -35,6 +38,18 @@ def chunk_width(text: str) -> int:
     return int(number) * MICROS[unit.rstrip("s")]
 
 
+def fitting_width(df: DataFrame, keys: list[str], micros: Column, target_rows: int = TARGET_ROWS) -> str:
+    """The widest chunk in which the busiest hour of the busiest key keeps to target_rows.
+
+    One partial aggregation over the key and time columns; a single number reaches
+    the driver. The width only sets the task size: results do not depend on it.
+    """
+    hour = F.floor(micros / MICROS["hour"]).alias("hour")
+    busiest = df.groupBy(*keys, hour).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    fitting = [width for width in WIDTHS if busiest * chunk_width(width) <= target_rows * MICROS["hour"]]
+    return fitting[0] if fitting else WIDTHS[-1]
+
+
 def running_last(
     df: DataFrame,
     keys: list[str],
@@ -51,6 +66,8 @@ def running_last(
     `within_chunk` runs right after the window, on data already grouped and sorted
     by chunk. `summary_source` may name a cheaper relation with the same rows (a
     written stage read back), so the summary scans only the columns it needs.
+    Without keys the summary of the whole table is ordered in one task: one row
+    per chunk of time, however many rows there are.
     """
     chunk = F.floor(F.col(micros) / chunk_width(width)).alias(CHUNK)
     order = [micros, *tie_breaks]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from logtrail.functions import addresses, networks
 from logtrail.operators.once import compute_once
@@ -102,11 +102,10 @@ def _has_any(fields: list[Column]) -> Column:
     return F.coalesce(*[F.when(field.isNotNull(), True) for field in fields], F.lit(False))
 
 
-def _probe() -> Column:
+def _probe(records: DataFrame) -> Column:
     # Accesses without an address match nothing; spread them by request.
-    return F.when(F.coalesce("ip", F.lit("")) != "", F.col("ip")).otherwise(
-        F.concat(F.lit("\u0000"), F.coalesce("request_id", F.lit("")))
-    )
+    spread = F.coalesce("request_id", F.lit("")) if "request_id" in records.columns else F.lit("")
+    return F.when(F.coalesce("ip", F.lit("")) != "", F.col("ip")).otherwise(F.concat(F.lit("\u0000"), spread))
 
 
 def enrich_geo(records: DataFrame, geo: DataFrame) -> DataFrame:
@@ -116,7 +115,7 @@ def enrich_geo(records: DataFrame, geo: DataFrame) -> DataFrame:
     by Spark's own size check.
     """
     side = geo.select(F.col("ip").alias("_geo_ip"), *[F.col(name).alias(f"_geo_{name}") for name in GEO_FIELDS])
-    joined = records.withColumn("_probe", _probe()).join(side, F.col("_probe") == F.col("_geo_ip"), "left")
+    joined = records.withColumn("_probe", _probe(records)).join(side, F.col("_probe") == F.col("_geo_ip"), "left")
 
     def text(name: str) -> Column:
         return F.coalesce(f"_geo_{name}", F.lit(""))
@@ -152,7 +151,7 @@ def compare_sources(records: DataFrame, second: DataFrame) -> DataFrame:
         F.col("longitude").alias("_second_longitude"),
         F.coalesce("country_code", F.lit("")).alias("_second_country"),
     )
-    joined = records.withColumn("_probe", _probe()).join(side, F.col("_probe") == F.col("_second_ip"), "left")
+    joined = records.withColumn("_probe", _probe(records)).join(side, F.col("_probe") == F.col("_second_ip"), "left")
     distance = networks.haversine_km(
         F.col("geo_latitude"), F.col("geo_longitude"), F.col("_second_latitude"), F.col("_second_longitude")
     )
@@ -170,6 +169,31 @@ def compare_sources(records: DataFrame, second: DataFrame) -> DataFrame:
     )
 
 
+def geo_dimension(ips: DataFrame, geo: DataFrame, second: DataFrame) -> DataFrame:
+    """The 16 geo and disagreement columns, once per distinct address."""
+    return compare_sources(enrich_geo(ips.select("ip"), geo), second)
+
+
+def attach_geo(records: DataFrame, dimension: DataFrame) -> DataFrame:
+    """enrich_geo and compare_sources in a single join of the records.
+
+    All 16 columns depend on the address alone, so they are computed per distinct
+    address and the wide records are shuffled once.
+    """
+    fields = [field for field in dimension.schema.fields if field.name != "ip"]
+    side = dimension.select(F.col("ip").alias("_geo_ip"), *[F.col(f.name).alias(f"_geo_{f.name}") for f in fields])
+    joined = records.withColumn("_probe", _probe(records)).join(side, F.col("_probe") == F.col("_geo_ip"), "left")
+    absent = {"string": F.lit(""), "boolean": F.lit(False)}
+
+    def value(field: T.StructField) -> Column:
+        found, default = F.col(f"_geo_{field.name}"), absent.get(field.dataType.simpleString())
+        return found if default is None else F.coalesce(found, default)
+
+    return joined.withColumns({f.name: value(f) for f in fields}).drop(
+        "_probe", "_geo_ip", *[f"_geo_{f.name}" for f in fields]
+    )
+
+
 def second_source_records(responses: DataFrame) -> DataFrame:
     """Raw second-source rows (ip, country, city, region, postal, loc, timezone, org) -> geo records."""
 

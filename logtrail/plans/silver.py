@@ -7,14 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logtrail.operators.blocks import reconstruct_blocks
+from logtrail.operators.carry import fitting_width
 from logtrail.operators.classify import classify_accesses
 from logtrail.operators.dedup import dedup_accesses, dedup_events
 from logtrail.operators.extract import extract_accesses
 from logtrail.operators.geo import (
-    compare_sources,
+    attach_geo,
     distinct_ips,
-    enrich_geo,
     extend_cache,
+    geo_dimension,
     second_source_records,
 )
 from logtrail.operators.sessions import assign_sessions, boundaries
@@ -38,7 +39,10 @@ def accesses_of(blocks: DataFrame) -> DataFrame:
     )
 
 
-def access_core(bronze: DataFrame, chunk: str = "1 hour") -> DataFrame:
+def access_core(bronze: DataFrame, chunk: str | None = None) -> DataFrame:
+    """Bronze rows -> accesses. Without `chunk` the busiest hour of a stream sets it."""
+    if chunk is None:
+        chunk = fitting_width(bronze, ["log_stream"], F.unix_micros(event_time(bronze)))
     return dedup_events(bronze).transform(reconstruct_blocks, chunk).transform(accesses_of)
 
 
@@ -64,7 +68,7 @@ class SilverResult:
 def build_silver(
     bronze: DataFrame,
     geo_inputs: GeoInputs,
-    chunk: str = "1 hour",
+    chunk: str | None = None,
     history: DataFrame | None = None,
 ) -> SilverResult:
     """The Silver records of one batch of Bronze rows."""
@@ -74,22 +78,23 @@ def build_silver(
 def finish_silver(
     accesses: DataFrame,
     geo_inputs: GeoInputs,
-    chunk: str = "1 hour",
+    chunk: str | None = None,
     history: DataFrame | None = None,
 ) -> SilverResult:
     """Sessions, inherited visitors, deduplication, geolocation.
 
     The core is written once to the shared folder: the session summary, the
     bucket argmax, the distinct addresses and the main pass each read only their
-    own columns of it. Deduplication runs before the geo joins; geo columns
-    depend on the address alone, so the result is the same with fewer rows joined.
+    own columns of it. Deduplication runs before the geo join; geo columns depend
+    on the address alone, so the result is the same with fewer rows joined.
     """
     core = write_stage(accesses, "access-core")
-    sessions = assign_sessions(core, chunk, source=core, history=history)
+    session_chunk = chunk or fitting_width(core, [], F.unix_micros("event_ts"))
+    sessions = assign_sessions(core, session_chunk, source=core, history=history)
     unique = dedup_accesses(propagate_visitors(sessions, source=core))
-    ips = distinct_ips(core)
+    ips = write_stage(distinct_ips(core), "ips")
     geo = write_stage(extend_cache(ips, geo_inputs.cache, geo_inputs.city_blocks, geo_inputs.asn_blocks), "geo")
-    records = compare_sources(enrich_geo(unique, geo), geo_inputs.second)
+    records = attach_geo(unique, geo_dimension(ips, geo, geo_inputs.second))
     return SilverResult(core, records, geo)
 
 
@@ -135,7 +140,7 @@ def run_silver(
     second_responses: DataFrame,
     run_id: str,
     updated_at_utc: str,
-    chunk: str = "1 hour",
+    chunk: str | None = None,
 ) -> dict:
     """One incremental run: pending Bronze files -> merged Silver -> cache -> ledger.
 

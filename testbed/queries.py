@@ -64,7 +64,8 @@ def geo_inputs(spark: SparkSession, sf_dir: str) -> silver.GeoInputs:
 
 @cache
 def _silver_table(application: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return write_stage(silver.build_silver(fixture.bronze(spark, sf_dir), geo_inputs(spark, sf_dir)).rows, "silver")
+    bronze = write_stage(fixture.bronze(spark, sf_dir), "bronze")
+    return write_stage(silver.build_silver(bronze, geo_inputs(spark, sf_dir)).rows, "silver")
 
 
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:

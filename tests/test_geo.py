@@ -107,7 +107,10 @@ def test_cache_enrich_and_compare(spark):
     assert set(rich.columns) == {"request_id", "ip", *GEO_COLUMNS}
     second = spark.createDataFrame([("10.0.0.1", "AR", 1.0, 2.0), ("1.1.1.1", "US", None, None)],
                                    "ip string, country_code string, latitude double, longitude double")
-    rows = {r.request_id: r for r in geo.compare_sources(rich, second).collect()}
+    compared = geo.compare_sources(rich, second)
+    rows = {r.request_id: r for r in compared.collect()}
+    once = geo.attach_geo(records, geo.geo_dimension(ips, table, second))
+    assert {r.request_id: r.asDict() for r in once.collect()} == {k: r.asDict() for k, r in rows.items()}
     assert len(rows) == 6
     assert (rows["r1"].geo_asn, rows["r1"].network_type, rows["r1"].geo_country_code) == ("AS16509", "cloud", "BR")
     assert (rows["r1"].geo_distance_km, rows["r1"].geo_divergence_severity) == (0.0, "alta")
