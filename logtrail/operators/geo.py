@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from logtrail.functions import addresses, networks
-from logtrail.operators.once import compute_once
+from logtrail.operators.once import compute_once, join_key
 from logtrail.schemas import GEO_FIELDS, GEO_RECORD_SCHEMA
 
 CITY_FIELDS = [name for name in GEO_FIELDS if name != "org"]
@@ -114,7 +114,7 @@ def enrich_geo(records: DataFrame, geo: DataFrame) -> DataFrame:
     A hot address is split by the adaptive skew join; a small `geo` is broadcast
     by Spark's own size check.
     """
-    side = geo.select(F.col("ip").alias("_geo_ip"), *[F.col(name).alias(f"_geo_{name}") for name in GEO_FIELDS])
+    side = geo.select(join_key("ip").alias("_geo_ip"), *[F.col(name).alias(f"_geo_{name}") for name in GEO_FIELDS])
     joined = records.withColumn("_probe", _probe(records)).join(side, F.col("_probe") == F.col("_geo_ip"), "left")
 
     def text(name: str) -> Column:
@@ -146,7 +146,7 @@ def enrich_geo(records: DataFrame, geo: DataFrame) -> DataFrame:
 def compare_sources(records: DataFrame, second: DataFrame) -> DataFrame:
     """Distance and severity against a second source; its values never replace the first's."""
     side = second.select(
-        F.col("ip").alias("_second_ip"),
+        join_key("ip").alias("_second_ip"),
         F.col("latitude").alias("_second_latitude"),
         F.col("longitude").alias("_second_longitude"),
         F.coalesce("country_code", F.lit("")).alias("_second_country"),
@@ -181,7 +181,7 @@ def attach_geo(records: DataFrame, dimension: DataFrame) -> DataFrame:
     address and the wide records are shuffled once.
     """
     fields = [field for field in dimension.schema.fields if field.name != "ip"]
-    side = dimension.select(F.col("ip").alias("_geo_ip"), *[F.col(f.name).alias(f"_geo_{f.name}") for f in fields])
+    side = dimension.select(join_key("ip").alias("_geo_ip"), *[F.col(f.name).alias(f"_geo_{f.name}") for f in fields])
     joined = records.withColumn("_probe", _probe(records)).join(side, F.col("_probe") == F.col("_geo_ip"), "left")
     absent = {"string": F.lit(""), "boolean": F.lit(False)}
 

@@ -1,8 +1,8 @@
-"""Compute costly columns once."""
+"""Small plan-shaping helpers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def compute_once(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -14,3 +14,13 @@ def compute_once(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     others = [name for name in df.columns if name not in columns]
     return df.select(*others, F.inline(F.array(F.struct(*columns))))
+
+
+def join_key(column: str) -> Column:
+    """A text key for the small side of a join whose large side may have hot keys.
+
+    The adaptive planner splits a hot partition only if both sides come straight
+    from the join's own shuffle. A side that was grouped by the key before is
+    already partitioned and would skip that shuffle; a computed key does not.
+    """
+    return F.concat(F.col(column), F.lit(""))

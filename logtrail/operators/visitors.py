@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from logtrail.functions import addresses, identity, useragents
 from logtrail.operators.carry import Mark, running_last
 from logtrail.operators.dedup import keep_first
+from logtrail.operators.once import join_key
 
 # Placeholder bucket name, states of the scheduled check.
 PLACEHOLDER_BUCKET = "TEMPORARIO"
@@ -55,7 +56,7 @@ def bucket_visitors(records: DataFrame) -> DataFrame:
     ).select("bucket_name", "visitor_id", "event_ts", "log_stream", "start_ts", "request_id")
     order = [F.col("event_ts").desc_nulls_last(), F.col("log_stream"), F.col("start_ts"), F.col("request_id")]
     return keep_first(candidates, ["bucket_name"], order).select(
-        F.col("bucket_name").alias("_bucket"), F.col("visitor_id").alias("_bucket_visitor")
+        join_key("bucket_name").alias("_bucket"), F.col("visitor_id").alias("_bucket_visitor")
     )
 
 
