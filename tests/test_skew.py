@@ -96,5 +96,5 @@ def test_fitting_width(spark):
     assert width(60, 500) == "1 hour"
     assert width(10, 2000) == "10 minutes"
     assert width(1, 8000) == "1 minute"
-    assert width(0.001, 1000) == "10 seconds"
+    assert width(0.001, 20000) == "10 seconds"
     assert fitting_width(spark.range(0).select(F.current_timestamp().alias("t")), [], F.unix_micros("t")) == "1 hour"
