@@ -105,6 +105,6 @@ def assemble(marked: DataFrame) -> DataFrame:
     )
 
 
-def reconstruct_blocks(events: DataFrame, chunk: str = "1 hour") -> DataFrame:
+def build_blocks(events: DataFrame, chunk: str = "1 hour") -> DataFrame:
     """Deduplicated Bronze rows -> the seven block columns."""
     return assemble(assign_starts(log_lines(events), chunk)).select(*BLOCK_COLUMNS)

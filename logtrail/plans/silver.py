@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logtrail.operators.blocks import reconstruct_blocks
+from logtrail.operators.blocks import build_blocks
 from logtrail.operators.carry import fitting_width
 from logtrail.operators.classify import classify_accesses
 from logtrail.operators.dedup import dedup_accesses, dedup_events
@@ -43,7 +43,7 @@ def access_core(bronze: DataFrame, chunk: str | None = None) -> DataFrame:
     """Bronze rows -> accesses. Without `chunk` the busiest hour of a stream sets it."""
     if chunk is None:
         chunk = fitting_width(bronze, ["log_stream"], F.unix_micros(event_time(bronze)))
-    return dedup_events(bronze).transform(reconstruct_blocks, chunk).transform(accesses_of)
+    return dedup_events(bronze).transform(build_blocks, chunk).transform(accesses_of)
 
 
 @dataclass(frozen=True)

@@ -37,11 +37,11 @@ OWNERS = {
 }
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """With `spread`, few input files (one scan task each) still use all cores afterwards."""
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if raw.rdd.getNumPartitions() < cores:
-        # A small file is one scan task; the lines made from it should use all cores.
+    if spread and len(raw.inputFiles()) < cores:
         raw = raw.repartition(cores, "event_id")
     return raw.select(
         F.col("event_id").alias("e"),
@@ -150,7 +150,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     copies = F.when(e % 5 == 0, F.array(F.lit("collect-1"), F.lit("collect-2"))).otherwise(F.array(F.lit("collect-1")))
     return (
-        events(spark, sf_dir)
+        events(spark, sf_dir, spread=True)
         .select("e", "u", "ms", copies.alias("copies"), F.posexplode(lines).alias("ln", "message"))
         .where(F.col("message").isNotNull())
         .select(

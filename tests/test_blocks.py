@@ -9,7 +9,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from logtrail.operators.blocks import reconstruct_blocks
+from logtrail.operators.blocks import build_blocks
 from logtrail.operators.dedup import dedup_events
 from logtrail.schemas import BLOCK_COLUMNS
 
@@ -24,7 +24,7 @@ def lines(spark, *rows):
 
 
 def blocks_of(spark, *rows):
-    found = reconstruct_blocks(dedup_events(lines(spark, *rows)))
+    found = build_blocks(dedup_events(lines(spark, *rows)))
     assert found.columns == BLOCK_COLUMNS
     return sorted(found.collect(), key=lambda b: (b.log_stream, b.start_ts))
 
@@ -153,7 +153,7 @@ def test_random_lines_equal_state_machine(spark, chunk):
             [f"START RequestId: {rid}", f"END RequestId: {rid}", f"END RequestId: {rid}", "text", f"REPORT {rid}"]
         )
         rows.append((f"{i:05d}", f"s{rng.randrange(3)}", rng.randrange(300), f"{message} #{i}"))
-    found = reconstruct_blocks(lines(spark, *rows), chunk).collect()
+    found = build_blocks(lines(spark, *rows), chunk).collect()
     assert sorted((b.log_stream, b.request_id, b.block_text, b.block_closed) for b in found) == machine(rows)
 
 
@@ -162,5 +162,5 @@ def test_iso_text_times(spark):
     data = [("1", "s", "2024-05-01T10:00:00+00:00", "START RequestId: a"),
             ("2", "s", "2024-05-01T10:00:00.500000+00:00", "x"), ("3", "s", "bad", "y")]
     df = spark.createDataFrame(data, "event_id string, log_stream string, timestamp_utc string, message string")
-    (block,) = reconstruct_blocks(dedup_events(df)).select("*", F.unix_millis("start_ts").alias("ms")).collect()
+    (block,) = build_blocks(dedup_events(df)).select("*", F.unix_millis("start_ts").alias("ms")).collect()
     assert block.block_text == "START RequestId: a\nx\ny" and block.ms % 1000 == 0 and block.log_group == ""

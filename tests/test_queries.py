@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import compare
-from logtrail.operators.blocks import reconstruct_blocks
+from logtrail.operators.blocks import build_blocks
 from logtrail.operators.dedup import dedup_accesses, dedup_events
 from logtrail.operators.geo import lookup_networks
 from logtrail.operators.sessions import assign_sessions
@@ -39,7 +39,7 @@ def test_no_nested_loops_and_no_single_partition_on_rows(spark):
     bronze = write_stage(fixture.bronze(spark, SF), "bronze")
     core = write_stage(queries.visited(spark, SF), "core")
     plans = {
-        "blocks": plan(reconstruct_blocks(dedup_events(bronze))),
+        "blocks": plan(build_blocks(dedup_events(bronze))),
         "sessions": plan(assign_sessions(core, source=core)),
         "geo": plan(lookup_networks(core.select("ip").distinct(), fixture.city_blocks(spark, SF), fixture.asn_blocks(spark, SF))),
     }
