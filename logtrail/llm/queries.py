@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logtrail.llm import language
+from logtrail.llm import bpe, language
 from logtrail.llm.common import table
 from logtrail.session import configure
 
@@ -23,3 +23,4 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> None:
 
 
 _over(language.op6_language_id, "documents")
+_over(bpe.op9_byte_bpe, "documents")
