@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logtrail.llm import bpe, language
+from logtrail.llm import bpe, cover_dedup, language, toxicity
 from logtrail.llm.common import table
 from logtrail.session import configure
 
@@ -22,5 +22,7 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> None:
     REGISTRY[operator.__name__] = run
 
 
+_over(toxicity.op1_toxicity, "documents", "labels")
 _over(language.op6_language_id, "documents")
 _over(bpe.op9_byte_bpe, "documents")
+_over(cover_dedup.op10_cover_dedup, "documents")
