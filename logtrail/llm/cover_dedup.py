@@ -24,83 +24,23 @@ columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from logtrail.llm.common import batches, prepare, utf8
+from logtrail.llm.common import batches, prepare
+from logtrail.llm.wordhash import ROLL, Words, records, run_hashes
+from logtrail.session import write_stage
 
 LENGTH = 50
 PERIOD = 31
 # {1, 5, 11, 24, 25, 27} takes every difference modulo 31.
 COVER = (1, 5, 11, 24, 25, 27)
-_BLANKS = np.zeros(256, bool)
-_BLANKS[[0x20, *range(0x09, 0x0E)]] = True
-_LONGEST = 256
-_POWERS = [
-    np.array([pow(base, k + 1, 1 << 64) for k in range(_LONGEST)], np.uint64) for base in (0x100000001B3, 0xD6E8FEB86659FD93)
-]
-_ROLL = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F]
-
-
-def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte and end of each word of all texts, and the n + 1 bounds between texts."""
-    inside = ~_BLANKS[data]
-    before = np.concatenate([[False], inside[:-1]])
-    before[bounds[:-1][bounds[:-1] < len(data)]] = False
-    starts = np.flatnonzero(inside & ~before)
-    after = np.concatenate([inside[1:], [False]])
-    after[bounds[1:-1][(bounds[1:-1] > 0)] - 1] = False
-    ends = np.flatnonzero(inside & ~after) + 1
-    return starts, ends, np.searchsorted(starts, bounds)
-
-
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """Two independent 64-bit hashes of each word."""
-    if not len(starts):
-        return [np.zeros(0, np.uint64)] * 2
-    lengths = ends - starts
-    place = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    chars = data[np.repeat(starts, lengths) + place].astype(np.uint64) + np.uint64(1)
-    firsts = np.cumsum(lengths) - lengths
-    out = []
-    for powers in _POWERS:
-        lap = (place // _LONGEST).astype(np.uint64)  # of words beyond the table
-        terms = chars * powers[place % _LONGEST] * (lap * lap * np.uint64(0x9FB21C651E98DF25) + lap * np.uint64(2) + np.uint64(1))
-        out.append(_mix(np.add.reduceat(terms, firsts) + lengths.astype(np.uint64)))
-    return out
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(32))
-
-
-def run_hashes(words: np.ndarray, count: int, base: int) -> np.ndarray:
-    """Hash of `count` words from each place on, for all places where they fit; by doubling."""
-    total, done, out, power = len(words) - count + 1, 0, None, base
-    if total <= 0:
-        return np.zeros(0, np.uint64)
-    block, size, rest = words, 1, count
-    while rest:
-        if rest & 1:
-            part = block[done : done + total] if size <= count else block
-            factor = np.uint64(pow(base, done, 1 << 64))
-            out = part * factor if out is None else out + part * factor
-            done += size
-        rest >>= 1
-        if rest:
-            block = block[: len(block) - size] + block[size:] * np.uint64(pow(base, size, 1 << 64))
-            size *= 2
-    return _mix(out)
 
 
 def window_hashes(hashed: list[np.ndarray], length: int) -> list[np.ndarray]:
     """Two independent 64-bit hashes of the window at each word."""
-    return [run_hashes(words, length, base) for words, base in zip(hashed, _ROLL)]
+    return [run_hashes(words, length, base) for words, base in zip(hashed, ROLL)]
 
 
 def anchor_places(n_words: int, length: int) -> np.ndarray:
@@ -126,44 +66,6 @@ def covered(starts: np.ndarray, n_words: int, length: int) -> np.ndarray:
     return np.cumsum(change)[:n_words] > 0
 
 
-class Words:
-    """The words of one batch of texts."""
-
-    def __init__(self, texts: pa.Array):
-        self.data, bounds = utf8(texts)
-        self.starts, self.ends, self.bounds = word_spans(self.data, bounds)
-        self.hashes = word_hashes(self.data, self.starts, self.ends)
-
-    def count(self, row: int) -> int:
-        return int(self.bounds[row + 1] - self.bounds[row])
-
-    def hashes_of(self, row: int) -> list[np.ndarray]:
-        part = slice(self.bounds[row], self.bounds[row + 1])
-        return [words[part] for words in self.hashes]
-
-    def joined(self, row: int, keep: np.ndarray | None = None) -> bytes:
-        """The row's words, or those to keep, joined by one space."""
-        part = slice(self.bounds[row], self.bounds[row + 1])
-        starts, ends = self.starts[part], self.ends[part]
-        if keep is not None:
-            starts, ends = starts[keep], ends[keep]
-        if not len(starts):
-            return b""
-        lengths = ends - starts + 1  # with the space behind
-        firsts = np.cumsum(lengths) - lengths
-        at = np.arange(int(lengths.sum())) - np.repeat(firsts, lengths) + np.repeat(starts, lengths)
-        out = self.data[np.minimum(at, len(self.data) - 1)]
-        out[firsts + lengths - 1] = 0x20
-        return out[:-1].tobytes()
-
-    def identity(self, row: int) -> bytes:
-        return hashlib.blake2b(self.joined(row), digest_size=16).digest()
-
-
-def _records(names: str, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names.split())
-
-
 def _later_copies(rows: DataFrame, length: int) -> DataFrame:
     """Documents whose word sequence stands whole in a smaller document. An id with several texts is none."""
 
@@ -171,9 +73,12 @@ def _later_copies(rows: DataFrame, length: int) -> DataFrame:
         for batch in batches(source):
             own = Words(batch.column("text"))
             held = [i for i in range(batch.num_rows) if own.count(i) >= length]
-            yield _records("doc mark", batch.column("doc").take(pa.array(held, pa.int64())), pa.array(map(own.identity, held), pa.binary()))
+            yield records(
+                "doc one two", batch.column("doc").take(pa.array(held, pa.int64())),
+                *[pa.array([own.identity(i, which) for i in held], pa.int64()) for which in (0, 1)],
+            )
 
-    marks = rows.mapInArrow(describe, "doc long, mark binary")
+    marks = rows.mapInArrow(describe, "doc long, one long, two long").select("doc", F.struct("one", "two").alias("mark"))
     firsts = marks.groupBy("mark").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     single = marks.groupBy("doc").agg(F.min("mark").alias("mark"), F.max("mark").alias("other")).where("mark = other")
     return single.join(firsts, "mark").where("doc > first").select("doc")
@@ -184,49 +89,49 @@ def _anchors(rows: DataFrame, length: int) -> DataFrame:
 
     def anchors(source):
         for batch in batches(source):
-            own = Words(batch.column("text"))
+            own = Words(batch.column("text"), hashes=1)
             docs = batch.column("doc").to_pylist()
             found = [[np.zeros(0, np.int64)] * 4]
             for row in range(batch.num_rows):
                 if own.count(row) < length:
                     continue
-                hashes = run_hashes(own.hashes_of(row)[0], length - PERIOD + 1, _ROLL[0]) >> np.uint64(16)
+                hashes = run_hashes(own.hashes_of(row)[0], length - PERIOD + 1, ROLL[0]) >> np.uint64(16)
                 places = anchor_places(own.count(row), length)
-                mark = int.from_bytes(own.identity(row)[:8], "little", signed=True)
-                found.append([hashes[places].astype(np.int64), np.full(len(places), mark), np.full(len(places), docs[row]), places])
+                found.append([hashes[places].astype(np.int64), np.full(len(places), own.identity(row)), np.full(len(places), docs[row]), places])
             hashes, marks, doc, places = map(np.concatenate, zip(*found))
-            yield _records("hash mark doc place", hashes, marks, doc, places.astype(np.int32))
+            yield records("hash mark doc place", hashes, marks, doc, places.astype(np.int32))
 
     return rows.mapInArrow(anchors, "hash long, mark long, doc long, place int")
 
 
-def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """(doc, hashes of its windows that start in a smaller document too), (doc) of later copies."""
+def repeated_windows(rows: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
+    """(doc, hashes of its windows that start in a smaller document too), (doc) of later copies; rows: doc, text."""
     if length <= PERIOD:
         raise ValueError(f"windows need more than {PERIOD} words")
-    prepare(docs.sparkSession)
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).where("doc IS NOT NULL")
-    copies = _later_copies(rows, length)
-    anchors = _anchors(rows, length)
+    known = rows.where("doc IS NOT NULL")
+    copies = write_stage(_later_copies(known, length), "copies")
+    anchors = _anchors(known, length)
     shared = anchors.groupBy("hash").agg(F.min("mark").alias("least"), F.max("mark").alias("most")).where("least < most").select("hash")
     places = anchors.select("hash", "doc", "place").join(shared.hint("shuffle_hash"), "hash", "left_semi")
     # A document's own anchors: as many as it has words at most.
-    near = places.groupBy("doc").agg(F.collect_set("place").alias("places")).join(copies, "doc", "left_anti")
+    near = write_stage(places.groupBy("doc").agg(F.collect_set("place").alias("places")).join(copies, "doc", "left_anti"), "near")
 
     def windows(source):
         for batch in batches(source):
+            batch = batch.filter(batch.column("places").is_valid())
             own = Words(batch.column("text"))
-            docs_of, lists = batch.column("doc").to_pylist(), batch.column("places").to_pylist()
+            docs_of, lists = batch.column("doc").to_pylist(), batch.column("places")
             found = [[np.zeros(0, np.int64)] * 3]
             for row in range(batch.num_rows):
-                starts = starts_near(np.array(lists[row], np.int64), own.count(row), length)
-                one, two = (hashes[starts].view(np.int64) for hashes in window_hashes(own.hashes_of(row), length)) if len(starts) else ([], [])
+                starts = starts_near(lists[row].values.to_numpy().astype(np.int64), own.count(row), length)
                 if len(starts):
+                    one, two = (hashes[starts].view(np.int64) for hashes in window_hashes(own.hashes_of(row), length))
                     found.append([one, two >> 32, np.full(len(starts), docs_of[row])])
             one, two, doc = map(np.concatenate, zip(*found))
-            yield _records("one two doc", one, two.astype(np.int32), doc)
+            yield records("one two doc", one, two.astype(np.int32), doc)
 
-    found = rows.join(near, "doc").mapInArrow(windows, "one long, two int, doc long")
+    # A left join, as in remove_repeats, so that Spark shuffles the texts once for both.
+    found = rows.join(near, "doc", "left").mapInArrow(windows, "one long, two int, doc long")
     firsts = found.groupBy("one", "two").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     later = found.join(firsts.select("one", "two", "first").hint("shuffle_hash"), ["one", "two"]).where("doc > first")
     return later.groupBy("doc").agg(F.collect_set("one").alias("windows")), copies
@@ -234,16 +139,16 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", l
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """key, n_words, n_removed, kept (the words that stay, joined by one space) of each row."""
-    rows = docs.select(F.col(key).alias("key"), F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    windows, copies = repeated_windows(docs, key, text, length)
-    marked = rows.join(windows.withColumnRenamed("doc", "doc_of"), F.col("doc") == F.col("doc_of"), "left").drop("doc_of")
-    marked = marked.join(copies.select(F.col("doc").alias("copy_of")), F.col("doc") == F.col("copy_of"), "left")
+    prepare(docs.sparkSession)
+    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    windows, copies = repeated_windows(rows, length)
+    marked = rows.join(windows, "doc", "left").join(copies.withColumn("copy", F.lit(True)), "doc", "left")
 
     def cut(source):
         for batch in batches(source):
             own = Words(batch.column("text"))
             kept, counts, gone = [], [], []
-            for row, (windows, copy) in enumerate(zip(batch.column("windows"), batch.column("copy_of"))):
+            for row, (windows, copy) in enumerate(zip(batch.column("windows"), batch.column("copy"))):
                 n = own.count(row)
                 out = None
                 if windows.is_valid:
@@ -254,11 +159,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 counts.append(n)
                 gone.append(0 if out is None else int(out.sum()))
                 kept.append(own.joined(row, None if out is None else ~out))
-            yield _records("key n_words n_removed kept", batch.column("key"), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()))
+            yield records("doc n_words n_removed kept", batch.column("doc"), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()))
 
-    kind = rows.schema["key"].dataType.simpleString()
-    out = marked.mapInArrow(cut, f"key {kind}, n_words long, n_removed long, kept binary")
-    return out.withColumnRenamed("key", key)
+    return marked.mapInArrow(cut, "doc long, n_words long, n_removed long, kept binary").withColumnRenamed("doc", key)
 
 
 def op10_cover_dedup(documents: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 
@@ -32,18 +30,21 @@ def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, bounds)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """Two independent 64-bit hashes of each word."""
-    if not len(starts):
-        return [np.zeros(0, np.uint64)] * 2
-    lengths = ends - starts
-    place = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    chars = data[np.repeat(starts, lengths) + place].astype(np.uint64) + np.uint64(1)
+def word_hashes(chars: np.ndarray, lengths: np.ndarray, count: int = 2) -> list[np.ndarray]:
+    """One or two independent 64-bit hashes of each word, from the words' bytes end to end."""
+    if not len(lengths):
+        return [np.zeros(0, np.uint64)] * count
     firsts = np.cumsum(lengths) - lengths
+    place = np.arange(len(chars)) - np.repeat(firsts, lengths)
+    lap = place // _LONGEST if lengths.max() > _LONGEST else None  # of words beyond the table
+    place %= _LONGEST
+    wide = chars.astype(np.uint64) + np.uint64(1)
     out = []
-    for powers in _POWERS:
-        lap = (place // _LONGEST).astype(np.uint64)  # of words beyond the table
-        terms = chars * powers[place % _LONGEST] * (lap * lap * np.uint64(0x9FB21C651E98DF25) + lap * np.uint64(2) + np.uint64(1))
+    for powers in _POWERS[:count]:
+        terms = wide * powers[place]
+        if lap is not None:
+            laps = lap.astype(np.uint64)
+            terms *= laps * laps * np.uint64(0x9FB21C651E98DF25) + laps * np.uint64(2) + np.uint64(1)
         out.append(mix(np.add.reduceat(terms, firsts) + lengths.astype(np.uint64)))
     return out
 
@@ -76,12 +77,12 @@ def run_hashes(words: np.ndarray, count: int, base: int) -> np.ndarray:
 class Words:
     """The words of one batch of texts."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, hashes: int = 2):
         self.data, bounds = utf8(texts)
         if lower:
             self.data = LOWER[self.data]
         self.starts, self.ends, self.bounds = word_spans(self.data, bounds)
-        self.hashes = word_hashes(self.data, self.starts, self.ends)
+        self.hashes = word_hashes(self.data[~BLANKS[self.data]], self.ends - self.starts, hashes)
 
     def count(self, row: int) -> int:
         return int(self.bounds[row + 1] - self.bounds[row])
@@ -105,8 +106,10 @@ class Words:
         out[firsts + lengths - 1] = 0x20
         return out[:-1].tobytes()
 
-    def identity(self, row: int) -> bytes:
-        return hashlib.blake2b(self.joined(row), digest_size=16).digest()
+    def identity(self, row: int, which: int = 0) -> int:
+        """64-bit hash of the whole word sequence, from the words' hashes of that number."""
+        words = self.hashes_of(row)[which]
+        return int(run_hashes(words, len(words), ROLL[1 - which]).view(np.int64)[0]) if len(words) else 0
 
 
 def records(names: str, *columns) -> pa.RecordBatch:
