@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logtrail.llm import bpe, cover_dedup, language, licenses, toxicity
+from logtrail.llm import bpe, cover_dedup, language, licenses, odd_sketch, surrogates, toxicity
 from logtrail.llm.common import table
 from logtrail.session import configure
 
@@ -24,6 +24,8 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> None:
 
 _over(toxicity.op1_toxicity, "documents", "labels")
 _over(licenses.op2_license_scan, "documents")
+_over(surrogates.op5_surrogates, "documents")
 _over(language.op6_language_id, "documents")
+_over(odd_sketch.op8_odd_sketch, "documents")
 _over(bpe.op9_byte_bpe, "documents")
 _over(cover_dedup.op10_cover_dedup, "documents")
