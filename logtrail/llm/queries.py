@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logtrail.llm import bpe, cover_dedup, cover_tree, language, licenses, odd_sketch, surrogates, toxicity
+from logtrail.llm import bpe, cover_dedup, cover_tree, decontaminate, language, licenses, odd_sketch, surrogates, toxicity
 from logtrail.llm.common import table
 from logtrail.session import configure
 
@@ -30,3 +30,4 @@ _over(odd_sketch.op8_odd_sketch, "documents")
 _over(bpe.op9_byte_bpe, "documents")
 _over(cover_dedup.op10_cover_dedup, "documents")
 _over(cover_tree.op7_cover_tree, "embeddings")
+_over(decontaminate.op4_decontaminate, "documents", "benchmark")
