@@ -112,6 +112,8 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
     copies = write_stage(_later_copies(known, length), "copies")
     anchors = _anchors(known, length)
     shared = anchors.groupBy("hash").agg(F.min("mark").alias("least"), F.max("mark").alias("most")).where("least < most").select("hash")
+    # Written, so that the joins below stand apart from the aggregations and Spark can split hot hashes.
+    shared = write_stage(shared, "shared")
     places = anchors.select("hash", "doc", "place").join(shared.hint("shuffle_hash"), "hash", "left_semi")
     # A document's own anchors: as many as it has words at most.
     near = write_stage(places.groupBy("doc").agg(F.collect_set("place").alias("places")).join(copies, "doc", "left_anti"), "near")
@@ -133,7 +135,8 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
     # A left join, as in remove_repeats, so that Spark shuffles the texts once for both.
     found = rows.join(near, "doc", "left").mapInArrow(windows, "one long, two int, doc long")
     firsts = found.groupBy("one", "two").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    later = found.join(firsts.select("one", "two", "first").hint("shuffle_hash"), ["one", "two"]).where("doc > first")
+    firsts = write_stage(firsts.select("one", "two", "first"), "firsts")
+    later = found.join(firsts.hint("shuffle_hash"), ["one", "two"]).where("doc > first")
     return later.groupBy("doc").agg(F.collect_set("one").alias("windows")), copies
 
 
