@@ -7,14 +7,17 @@ many samples differ, precisely where similarity is high; candidates whose
 estimate lies far below the limit go. The others are confirmed on full sets.
 
 Equal sets are one class from the start. Within a bucket of a band, not all pairs
-are formed: first each member meets the bucket's leader; then, in buckets that
-still hold several components, more leaders in growing numbers meet the members
-of other components, until every bucket is one component or all its members led.
-So no link that joins two components is lost, and a group of near copies costs
-about one pair per member. Every round is written to the shared folder.
+are formed. First each member meets the bucket's leader, the member that shares
+most buckets with others (of near copies mostly their original). Buckets that
+then still hold several components are contested: the components that meet in
+them form clusters, and every node outside its cluster's largest component is
+compared with all nodes of the cluster, block of nodes by block of nodes, by
+sketch and then on full sets. Only links leave a block. So no link that joins two
+components is lost, a group of near copies costs about one pair per member, and
+no task holds more than two blocks. Every step is written to the shared folder.
 
 With 32 bands of 4 samples a pair at the limit of 0.8 shares no band with chance
-5e-8; the sketch then drops it with chance below 1e-9.
+5e-8; the sketch then drops it with chance about 1e-7.
 
 Defined cases: a text without words has an empty set, is linked with nothing and
 kept; so is a row with a null id (component null). Rows that repeat an id are
@@ -27,7 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F
 
 from logtrail.llm.common import batches, prepare
 from logtrail.llm.components import components
@@ -39,8 +42,8 @@ SAMPLES = BANDS * SAMPLES_IN_BAND
 SKETCH_BITS = 256
 # Estimated similarity below which a candidate is not confirmed; links have 0.8 and more.
 LEAST_ESTIMATE = 0.5
-# Leaders of a bucket grow by this factor from round to round.
-GROWTH = 16
+# Shingles in a block of contested nodes.
+BLOCK_SHINGLES = 1 << 16
 _ODD = np.random.default_rng(20240229).integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -154,6 +157,81 @@ def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int)
     return both.where(100 * common >= percent * (F.size("one") + F.size("two") - common)).select("a", "b")
 
 
+def _contested_links(buckets: DataFrame, found: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components that meet in a bucket."""
+    held = buckets.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    meeting = held.select("bucket", "component").distinct()
+    hubs = write_stage(meeting.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "low"), "hubs")
+    clusters = components(meeting.join(hubs, "bucket").where("component <> low").select(F.col("component").alias("a"), F.col("low").alias("b")))
+    clusters = clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    members = sketches.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")).join(clusters, "component")
+    sized = members.join(sets, "node").withColumn("size", F.size("shingles"))
+    of_component = sized.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    of_cluster = write_stage(of_component.groupBy("cluster").agg(
+        F.max(F.struct("n", "component")).alias("top"), F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("blocks")
+    ).select("cluster", F.col("top.component").alias("main"), "blocks"), "clusters")
+    dealt = sized.join(sketches.select("node", *_SKETCH), "node").join(of_cluster, "cluster").select(
+        "cluster", F.pmod(F.xxhash64("node"), "blocks").alias("block"),
+        F.struct("node", "component", (F.col("component") != F.col("main")).alias("minor"), *_SKETCH, "shingles").alias("own"),
+    )
+    # A block's size is bounded by BLOCK_SHINGLES on average.
+    blocks = write_stage(dealt.groupBy("cluster", "block").agg(F.collect_list("own").alias("own"), F.max("own.minor").alias("minors")), "blocks")
+    minors = blocks.where("minors").select("cluster", F.col("block").alias("i"), F.filter("own", lambda x: x["minor"]).alias("one"))
+    pairs = minors.join(blocks.select("cluster", F.col("block").alias("j"), F.col("own").alias("two")), "cluster")
+
+    def compare(source):
+        for batch in batches(source):
+            for one, two in zip(batch.column("one"), batch.column("two")):
+                found = list(_compare(_Block(one), _Block(two), percent))
+                yield records("a b", *[pa.array([pair[k] for pair in found], pa.int64()) for k in (0, 1)])
+
+    spread = pairs.repartition("cluster", "i", "j").select("one", "two")
+    return write_stage(spread.mapInArrow(compare, "a long, b long").distinct(), "links")
+
+
+class _Block:
+    """Nodes of one block as arrays."""
+
+    def __init__(self, rows: pa.ListScalar):
+        own = rows.values
+        self.node, self.component = (own.field(name).to_numpy() for name in ("node", "component"))
+        self.minor = own.field("minor").to_numpy(zero_copy_only=False)
+        self.sketch = np.stack([own.field(name).to_numpy() for name in _SKETCH], axis=1).view(np.uint64)
+        shingles = own.field("shingles")
+        self.bounds = shingles.offsets.to_numpy()
+        self.values = shingles.values.to_numpy()
+        self.size = np.diff(self.bounds)
+
+    def shingles(self, row: int) -> np.ndarray:
+        return self.values[self.bounds[row] : self.bounds[row + 1]]
+
+
+def _compare(one: _Block, two: _Block, percent: int):
+    """Links between nodes of two blocks that are not in one component yet, most similar first."""
+    heads: dict[int, int] = {}
+
+    def head(component: int) -> int:
+        while component in heads:
+            component = heads[component]
+        return component
+
+    most = most_differing_bits()
+    for i in range(len(one.node)):
+        other = (two.component != one.component[i]) & (~two.minor | (two.node > one.node[i]))
+        small, large = np.minimum(two.size, one.size[i]), np.maximum(two.size, one.size[i])
+        other = np.flatnonzero(other & (100 * small >= percent * large))
+        bits = np.bitwise_count(two.sketch[other] ^ one.sketch[i]).sum(axis=1)
+        near = np.flatnonzero(bits <= most)
+        for j in other[near[np.argsort(bits[near], kind="stable")]]:
+            a, b = head(int(one.component[i])), head(int(two.component[j]))
+            if a == b:
+                continue
+            common = len(np.intersect1d(one.shingles(i), two.shingles(j), assume_unique=True))
+            if 100 * common >= percent * (int(one.size[i]) + int(two.size[j]) - common):
+                heads[max(a, b)] = min(a, b)
+                yield int(one.node[i]), int(two.node[j])
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """key, n_shingles, component_id, kept of each row. Similarity: shared shingles of all, in percent."""
     prepare(docs.sparkSession)
@@ -162,41 +240,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     linkable = described.where("doc IS NOT NULL AND node IS NOT NULL")
 
     places = linkable.select(F.explode("bands").alias("bucket"), "node")
-    several = places.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader < other")
-    buckets = write_stage(places.join(several.select("bucket", "leader").hint("shuffle_hash"), "bucket").distinct(), "buckets")
-    members = buckets.select("node").distinct()
-    sketches = write_stage(linkable.join(members, "node", "left_semi").groupBy("node").agg(
-        F.min("doc").alias("doc"), *[F.min(name).alias(name) for name in _SKETCH]
-    ), "sketches")
+    several = write_stage(places.groupBy("bucket").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("bucket", "n"), "several")
+    buckets = write_stage(places.join(several.hint("shuffle_hash"), "bucket").distinct(), "buckets")
+    weights = buckets.groupBy("node").agg(F.sum("n").alias("weight"))
+    sketches = write_stage(
+        linkable.join(weights, "node").groupBy("node").agg(
+            F.min("doc").alias("doc"), F.min("weight").alias("weight"), *[F.min(name).alias(name) for name in _SKETCH]), "sketches")
     sets = write_stage(_full_sets(rows.where("doc IS NOT NULL"), sketches.select("doc", "node"), size).dropDuplicates(["node"]), "sets")
 
-    def ordered(one: str, two: str) -> list[Column]:
-        return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
-
-    pairs = buckets.where("node <> leader").select(*ordered("node", "leader")).distinct()
+    weighed = buckets.join(sketches.select("node", "weight"), "node")
+    leaders = write_stage(weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("top")).select(
+        "bucket", F.col("top.node").alias("leader")), "leaders")
+    pairs = buckets.join(leaders, "bucket").where("node <> leader").select(
+        F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     links = write_stage(_links(pairs, sketches, sets, percent), "links")
-    used, open_buckets = 1, buckets.select("bucket", "node")
-    while True:
-        found = components(links)
-        held = open_buckets.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-        mixed = held.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
-        ).where((F.col("low") < F.col("high")) & (F.col("n") > used + 1))
-        open_buckets = write_stage(held.join(mixed.select("bucket").hint("shuffle_hash"), "bucket"), "open")
-        if open_buckets.limit(1).count() == 0:
-            break
-        order = Window.partitionBy("bucket").orderBy("node")
-        leaders = (
-            open_buckets.withColumn("place", F.row_number().over(order)).where(F.col("place") <= used * GROWTH)
-            .where(F.col("place") > used)
-            .select("bucket", F.col("node").alias("leader"), F.col("component").alias("leader_component"))
-        )
-        pairs = (
-            open_buckets.join(leaders, "bucket").where("component <> leader_component").select(*ordered("node", "leader")).distinct()
-        )
-        links = write_stage(links.union(_links(pairs, sketches, sets, percent)), "links")
-        used *= GROWTH
-        open_buckets = open_buckets.select("bucket", "node")
+    found = components(links.union(_contested_links(buckets, components(links), sketches, sets, percent)))
 
     classes = linkable.groupBy("node").agg(F.min("doc").alias("first")).join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
