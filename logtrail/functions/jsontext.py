@@ -110,7 +110,8 @@ def strict_json_lines(text: Column) -> Column:
         lambda line: trimmed(text_from(line, F.locate("{", line))),
     )
     strict = F.filter(candidates, lambda c: c.startswith("{") & is_one_object(c))
-    docs = F.filter(F.transform(strict, parse_json), lambda doc: doc.isNotNull())
+    # The key has to be one of the object itself, not of something inside it.
+    docs = F.filter(F.transform(strict, parse_json), lambda doc: F.try_variant_get(doc, "$.event", "variant").isNotNull())
     return F.transform(
         docs,
         lambda doc: F.struct(value_text(doc, "$.event").alias("event"), doc.alias("doc")),

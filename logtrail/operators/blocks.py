@@ -75,22 +75,24 @@ def assign_starts(lines: DataFrame, chunk: str = "1 hour") -> DataFrame:
 def assemble(marked: DataFrame) -> DataFrame:
     """Group the lines of each execution and join them in order.
 
-    The group is exactly one execution, so its size is that of one output text.
+    Lines behind the END are dropped before the group is gathered, so its size is
+    that of one output text. Window and group share one shuffle.
     Two technical columns stay: start_t and start_event_id, the key of the START.
     """
+    keyed = marked.withColumns({"start_t": F.col("start.t"), "start_event_id": F.col("start.event_id")})
     closes = F.col("end_id") == F.col("start.request_id")
-    grouped = marked.groupBy(
-        "log_stream",
-        F.col("start.t").alias("start_t"),
-        F.col("start.event_id").alias("start_event_id"),
-        F.col("start.request_id").alias("request_id"),
-        F.col("start.log_group").alias("log_group"),
-    ).agg(
-        F.array_sort(F.collect_list(F.struct("t", "event_id", "message"))).alias("lines"),
-        F.min(F.when(closes, F.struct("t", "event_id"))).alias("end"),
-    )
-    inside = F.filter(
-        "lines", lambda line: F.col("end").isNull() | (F.struct(line["t"], line["event_id"]) <= F.col("end"))
+    execution = ["log_stream", "start_t", "start_event_id"]
+    end = F.min(F.when(closes, F.struct("t", "event_id"))).over(Window.partitionBy(*execution))
+    grouped = (
+        keyed.withColumn("end", end)
+        .where(F.col("end").isNull() | (F.struct("t", "event_id") <= F.col("end")))
+        .groupBy(*execution)
+        .agg(
+            F.max("start.request_id").alias("request_id"),
+            F.max("start.log_group").alias("log_group"),
+            F.array_sort(F.collect_list(F.struct("t", "event_id", "message"))).alias("lines"),
+            F.max("end").alias("end"),
+        )
     )
     return grouped.select(
         "request_id",
@@ -99,7 +101,7 @@ def assemble(marked: DataFrame) -> DataFrame:
         F.when(F.col("start_t") != NO_TIME, F.timestamp_micros("start_t")).alias("start_ts"),
         F.when(F.col("end.t") != NO_TIME, F.timestamp_micros("end.t")).alias("end_ts"),
         F.col("end").isNotNull().alias("block_closed"),
-        F.array_join(F.transform(inside, lambda line: line["message"]), "\n").alias("block_text"),
+        F.array_join(F.transform("lines", lambda line: line["message"]), "\n").alias("block_text"),
         "start_t",
         "start_event_id",
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from logtrail.functions.timeparts import event_time
+from logtrail.functions.timeparts import event_time, parse_utc
 
 _RANK = "_rank"
 
@@ -32,6 +32,6 @@ def dedup_accesses(records: DataFrame) -> DataFrame:
     order = [
         F.col("block_closed").desc(),
         F.col("log_stream").desc_nulls_last(),
-        F.col("start_ts").desc_nulls_first() if "start_ts" in records.columns else F.col("timestamp_utc").desc(),
+        F.col("start_ts").desc_nulls_first() if "start_ts" in records.columns else parse_utc(F.col("timestamp_utc")).desc_nulls_last(),
     ]
     return keep_first(records, ["request_id"], order)

@@ -33,10 +33,10 @@ def scored(silver: DataFrame, site_host: str) -> DataFrame:
 
 
 def visitor_recurrence(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("visitor_id").agg(
+    return with_time(silver).groupBy("visitor_id").agg(
         F.count(F.lit(1)).alias("accesses"),
-        F.min("timestamp_utc").alias("first_seen"),
-        F.max("timestamp_utc").alias("last_seen"),
+        iso_zulu(F.min("event_ts")).alias("first_seen"),
+        iso_zulu(F.max("event_ts")).alias("last_seen"),
         F.count_distinct("site_session_id").alias("sessions"),
         (F.count(F.lit(1)) > 1).alias("is_recurrent"),
     )

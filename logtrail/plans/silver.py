@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logtrail.operators.blocks import build_blocks
 from logtrail.operators.carry import fitting_width
@@ -104,19 +104,22 @@ def session_history(silver: DataFrame) -> DataFrame:
     return boundaries(timed.withColumn("start_ts", F.col("event_ts")))
 
 
-def open_executions(core: DataFrame, stale_after: str = "1 day") -> DataFrame:
+def open_executions(core: DataFrame, stale_before: str | None = None) -> DataFrame:
     """Streams whose last execution has not ended yet, with its start.
 
-    An execution is cut off by its platform long before `stale_after`; older open
-    ones never end and are not waited for.
+    Each is waited for until it ends, however old it is: the rows of a run may lie
+    at any dates. `stale_before` (a time, chosen by the operator of the job) gives
+    up those that started earlier; run_silver writes them to its reject table.
     """
     last = core.groupBy("log_stream").agg(
         F.max(F.struct("start_ts", "request_id", "block_closed")).alias("last")
     )
-    newest = core.agg(F.max("start_ts")).first()[0]
-    oldest_wait = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {stale_after}")
-    waiting = ~F.col("last.block_closed") & (F.col("last.start_ts") >= oldest_wait)
-    return last.where(waiting).select("log_stream", F.col("last.start_ts").alias("start_ts"))
+    waiting = last.where(~F.col("last.block_closed")).select("log_stream", F.col("last.start_ts").alias("start_ts"))
+    return waiting if stale_before is None else waiting.where(~_stale(stale_before))
+
+
+def _stale(before: str) -> Column:
+    return F.coalesce(F.col("start_ts") < F.lit(before).cast("timestamp"), F.lit(False))
 
 
 def _reread(bronze: DataFrame, waiting: DataFrame) -> DataFrame:
@@ -141,6 +144,7 @@ def run_silver(
     run_id: str,
     updated_at_utc: str,
     chunk: str | None = None,
+    stale_before: str | None = None,
 ) -> dict:
     """One incremental run: pending Bronze files -> merged Silver -> cache -> ledger.
 
@@ -165,7 +169,11 @@ def run_silver(
     result = build_silver(bronze, GeoInputs(city_blocks, asn_blocks, cache, second), chunk, history)
     write_geo_cache(result.geo, f"{control_base}/geo_cache", run_id)
     merged = merge_silver(result.records, silver_base)
-    open_executions(result.core).write.mode("overwrite").parquet(f"{open_base}/run={run_id}")
+    waiting = open_executions(result.core)
+    if stale_before is not None:
+        waiting.where(_stale(stale_before)).write.mode("overwrite").parquet(f"{control_base}/stale/run={run_id}")
+        waiting = open_executions(result.core, stale_before)
+    waiting.write.mode("overwrite").parquet(f"{open_base}/run={run_id}")
     commit_files(pending, ledger_path, STAGE, run_id, updated_at_utc)
     counts = merged.agg(F.count(F.lit(1)), F.count_if("geo_sources_divergent")).first()
     return {"files": len(paths), "records": counts[0], "divergent": counts[1]}

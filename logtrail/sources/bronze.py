@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logtrail.functions.timeparts import date_parts, event_time
 from logtrail.schemas import BRONZE_REQUIRED, BRONZE_SCHEMA, DATE_PARTITIONS, require_columns
+from logtrail.sources.paths import read_parquet_or_empty
 
 # Partition values are text: a month is '06', not 6.
 _PATH_FIELDS = [T.StructField(name, T.StringType()) for name in DATE_PARTITIONS]
@@ -35,7 +36,19 @@ def write_bronze(bronze: DataFrame, base: str, reject_base: str | None = None) -
         .parquet(base)
     )
     if reject_base is not None:
-        undated(bronze).write.mode("append").option("compression", "snappy").parquet(reject_base)
+        (
+            undated(bronze)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "snappy")
+            .partitionBy("collection_id")
+            .parquet(reject_base)
+        )
+
+
+def read_rejected(spark: SparkSession, reject_base: str) -> DataFrame:
+    """Rows without an event time; empty when none were ever rejected."""
+    return read_parquet_or_empty(spark, reject_base, BRONZE_TABLE_SCHEMA)
 
 
 def read_bronze(

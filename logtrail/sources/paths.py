@@ -11,6 +11,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def read_parquet_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)

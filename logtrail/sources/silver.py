@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from logtrail.functions.timeparts import date_parts, parse_utc
 from logtrail.operators.dedup import keep_first
 from logtrail.schemas import DATE_PARTITIONS, OBSOLETE_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA, conform
 from logtrail.session import write_stage
-from logtrail.sources.paths import path_exists
+from logtrail.sources.paths import delete_path, path_exists
 
 SILVER_TABLE_SCHEMA = T.StructType(
     SILVER_SCHEMA.fields + [T.StructField(name, T.StringType()) for name in DATE_PARTITIONS]
@@ -26,42 +26,50 @@ def read_silver(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(SILVER_TABLE_SCHEMA).parquet(base)
 
 
-def _near_days(silver: DataFrame, new: DataFrame) -> DataFrame:
-    """Stored rows of the new rows' days and the days beside them.
+def _day_key() -> Column:
+    """'2024-03-01' of the partition columns; '' for rows without a time."""
+    return F.concat_ws("-", *DATE_PARTITIONS)
 
-    Copies of one execution start within one run of it, so a replaced row lies at
-    most a day away. The list of days is one short row per day of data.
-    """
-    day = F.make_date(*[F.col(name).cast("int") for name in DATE_PARTITIONS])
-    days = (
-        new.where(F.col("year").isNotNull())
-        .select(F.explode(F.array(F.date_sub(day, 1), day, F.date_add(day, 1))).alias("d"))
-        .distinct()
-        .select(*date_parts(F.col("d")))
-    )
-    return silver.join(days, DATE_PARTITIONS, "left_semi")
+
+def _days(rows: DataFrame) -> set[str]:
+    """Partitions of the rows: one short text per day of data."""
+    return {row[0] for row in rows.select(_day_key()).distinct().collect()}
 
 
 def merge_silver(records: DataFrame, base: str) -> DataFrame:
-    """Merge new rows by request_id and return the merged rows of the days touched.
+    """Merge new rows by request_id; returns the new rows that are now stored.
 
-    Without a table format this is read, merge, stage, overwrite: the merged days
-    are written to the shared folder first, and only then replace their
-    partitions, so no plan reads the files it overwrites.
+    Stored copies are found by request_id wherever they lie, also under another
+    day or without one; only the partitions of these copies and of the new rows
+    are read and rewritten. A complete execution goes before a cut one, then the
+    new row, then the later. Without a table format this is read, merge, stage,
+    overwrite: the merged partitions are written to the shared folder first, and
+    only then replace their files, so no plan reads the files it overwrites.
     """
     spark = records.sparkSession
     moment = parse_utc(F.col("timestamp_utc"))
-    new = silver_rows(records).select("*", *date_parts(moment)).withColumn("_new", F.lit(1))
-    old = _near_days(read_silver(spark, base), new).withColumn("_new", F.lit(0))
-    order = [F.col("block_closed").desc(), F.col("_new").desc(), F.col("timestamp_utc").desc()]
-    merged = keep_first(new.unionByName(old.select(*new.columns)), ["request_id"], order).drop("_new")
-    staged = write_stage(merged, "silver-merge")
+    new = write_stage(silver_rows(records).select("*", *date_parts(moment)), "silver-new")
+    stored = read_silver(spark, base)
+    copies = stored.select("request_id", *DATE_PARTITIONS).join(new.select("request_id").distinct(), "request_id", "left_semi")
+    left, entered = _days(copies), _days(new)
+    old = stored.where(_day_key().isin(sorted(left | entered)))
+    both = new.withColumn("_new", F.lit(1)).unionByName(old.select(*new.columns).withColumn("_new", F.lit(0)))
+    order = [F.col("block_closed").desc(), F.col("_new").desc(), moment.desc_nulls_last()]
+    staged = write_stage(keep_first(both, ["request_id"], order), "silver-merge")
     (
-        staged.hint("rebalance", *DATE_PARTITIONS)
+        staged.drop("_new")
+        .hint("rebalance", *DATE_PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(*DATE_PARTITIONS)
         .parquet(base)
     )
-    return staged
+    for day in sorted(left - _days(staged)):  # every row of it has moved
+        delete_path(spark, f"{base}/{_partition_path(day)}")
+    return staged.where("_new = 1").drop("_new")
+
+
+def _partition_path(day: str) -> str:
+    values = day.split("-") if day else ["__HIVE_DEFAULT_PARTITION__"] * len(DATE_PARTITIONS)
+    return "/".join(f"{name}={value}" for name, value in zip(DATE_PARTITIONS, values))
