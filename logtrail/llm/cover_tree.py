@@ -284,7 +284,7 @@ def _searched(pairs: DataFrame, groups: DataFrame, shards: DataFrame, k: int) ->
                 best = Best(len(queries.counts), k)
                 best.scores[:] = row["floor"]
                 search(queries, data, best)
-                found, column = np.nonzero(best.ids < np.iinfo(np.int64).max)
+                found, column = np.nonzero((best.ids < np.iinfo(np.int64).max) & np.isfinite(best.scores))
                 yield records(
                     "query_id vec_id score", queries.ids[queries.at[found]], best.ids[found, column],
                     best.scores[found, column].astype(np.int64),
