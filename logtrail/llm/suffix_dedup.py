@@ -133,15 +133,14 @@ def suffix_array(text: np.ndarray, stops: np.ndarray, depth: int) -> tuple[np.nd
     groups of one are done, the others are split by the rank `size` further on.
     """
     n = len(text)
-    symbols = np.zeros(n + 8, np.uint64)
-    symbols[:n] = text.astype(np.uint64)
     at = np.arange(n)
-    keys = np.zeros(n, np.uint64)
-    for k in range(7):  # seven bytes and how many of them are inside
-        inside = at + k < stops
-        keys = (keys << np.uint64(8)) | np.where(inside, symbols[at + k], np.uint64(0))
-    keys = (keys << np.uint64(8)) | np.minimum(stops - at, 7).astype(np.uint64)
-    order = np.argsort(keys, kind="stable")
+    ahead = np.lib.stride_tricks.sliding_window_view(np.concatenate([text, np.zeros(8, np.uint8)]), 8)[:n]
+    keys = np.ascontiguousarray(ahead).view(">u8").ravel().astype(np.uint64)
+    # Seven bytes, none from behind the stop, and how many of them are inside.
+    inside = np.minimum(stops - at, 7).astype(np.uint64)
+    keys &= ~np.uint64(0) << (np.uint64(64) - np.uint64(8) * inside)
+    keys |= inside
+    order = np.argsort(keys)
     sorted_keys = keys[order]
     ends = np.append(sorted_keys[1:] != sorted_keys[:-1], True)
     rank = np.empty(n, np.int64)
@@ -156,7 +155,7 @@ def suffix_array(text: np.ndarray, stops: np.ndarray, depth: int) -> tuple[np.nd
         own = order[places]
         follow = own + size
         beyond = np.where(follow < stops[own], rank[np.minimum(follow, n - 1)] + 1, 0)
-        by = np.argsort((rank[own].astype(np.uint64) << np.uint64(32)) | beyond.astype(np.uint64), kind="stable")
+        by = np.argsort((rank[own].astype(np.uint64) << np.uint64(32)) | beyond.astype(np.uint64))
         own, group, beyond = own[by], rank[own][by], beyond[by]
         order[places] = own
         cut = np.append((group[1:] != group[:-1]) | (beyond[1:] != beyond[:-1]), True)
@@ -173,8 +172,8 @@ def _last_place(ends: np.ndarray) -> np.ndarray:
     return np.repeat(stops, np.diff(np.concatenate([[-1], stops])))
 
 
-def common_prefixes(text: np.ndarray, firsts: np.ndarray, stops: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """Common prefix (at most `most`) of each suffix with the one before it in order.
+def common_prefixes(text: np.ndarray, firsts: np.ndarray, stops: np.ndarray, order: np.ndarray, most: int, least: int = 1) -> np.ndarray:
+    """Common prefix (at most `most`) of each suffix of at least `least` bytes with the one before it in order.
 
     Kasai: the prefix of suffix i + 1 is at least that of i, less one. All
     contexts go forward side by side, each from its own first suffix.
@@ -188,8 +187,8 @@ def common_prefixes(text: np.ndarray, firsts: np.ndarray, stops: np.ndarray, ord
     out = np.zeros(n, np.int64)
     lanes, held = np.argsort(firsts - stops, kind="stable"), np.zeros(len(firsts), np.int64)
     lengths = (stops - firsts)[lanes]
-    for step in range(int(lengths[0]) if len(lengths) else 0):
-        live = lanes[: np.searchsorted(-lengths, -step, "left")]
+    for step in range(max(0, int(lengths[0]) - least + 1) if len(lengths) else 0):
+        live = lanes[: np.searchsorted(-lengths, -(step + least - 1), "left")]
         here = firsts[live] + step
         other = before[here]
         known = np.maximum(held[live] - 1, 0)
@@ -213,7 +212,7 @@ def repeated_starts(contexts: list[bytes], counts: np.ndarray, length: int) -> l
     firsts = stops - sizes
     text = np.frombuffer(b"".join(contexts), np.uint8)
     order, _ = suffix_array(text, np.repeat(stops, sizes), length)
-    shared = common_prefixes(text, firsts, stops, order, length) >= length
+    shared = common_prefixes(text, firsts, stops, order, length, least=length) >= length
     again = shared.copy()
     places = np.flatnonzero(shared[order])
     again[order[places - 1]] = True
