@@ -209,6 +209,8 @@ def leaks_brute(texts, items):
     for i, t in texts:
         w = words(t)
         for item, b in ((k, words(v)) for k, v in items):
+            if len(b) < 5 and w != b:
+                continue
             for p in range(max(1, len(w) - len(b) + 1)):
                 one, two = shingles(w[p : p + len(b)]), shingles(b)
                 larger = sum((one | two).values())
