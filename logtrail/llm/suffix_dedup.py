@@ -12,8 +12,8 @@ with a count, so a group of copies is one entry however large it is.
 
 Shards. Contexts are dealt to shards of about SHARD_BYTES by anchor. A shard builds
 the suffix array of its contexts by Larsson-Sadakane refinement (groups of equal
-prefixes are split by the rank of what follows, doubling the depth until LENGTH),
-and Kasai's rule gives the common prefix of each suffix with its neighbour, all
+prefixes are split by the rank of what follows, doubling the depth up to the
+longest context), and Kasai's rule gives the common prefix of each suffix with its neighbour, all
 contexts side by side. A start is repeated if a neighbour shares LENGTH bytes, or
 if its context stands more than once.
 
@@ -163,6 +163,10 @@ def suffix_array(text: np.ndarray, stops: np.ndarray, depth: int) -> tuple[np.nd
         last = _last_place(ends)
         rank[own] = last[places]
         size *= 2
+    # Kasai's rule needs equal suffixes in order of their places.
+    places = np.flatnonzero(~(ends & np.concatenate([[True], ends[:-1]])))
+    own = order[places]
+    order[places] = own[np.argsort((rank[own].astype(np.uint64) << np.uint64(32)) | own.astype(np.uint64))]
     return order, rank
 
 
@@ -211,7 +215,7 @@ def repeated_starts(contexts: list[bytes], counts: np.ndarray, length: int) -> l
     stops = np.cumsum(sizes)
     firsts = stops - sizes
     text = np.frombuffer(b"".join(contexts), np.uint8)
-    order, _ = suffix_array(text, np.repeat(stops, sizes), length)
+    order, _ = suffix_array(text, np.repeat(stops, sizes), int(sizes.max()))
     shared = common_prefixes(text, firsts, stops, order, length, least=length) >= length
     again = shared.copy()
     places = np.flatnonzero(shared[order])
