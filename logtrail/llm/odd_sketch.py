@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logtrail.llm.common import batches, prepare
-from logtrail.llm.components import components
+from logtrail.llm.components import components, write_small
 from logtrail.llm.wordhash import ROLL, Words, mix, records, run_hashes
 from logtrail.session import write_stage
 
@@ -161,13 +161,13 @@ def _contested_links(buckets: DataFrame, found: DataFrame, sketches: DataFrame,
     """Links between the components that meet in a bucket."""
     held = buckets.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     meeting = held.select("bucket", "component").distinct()
-    hubs = write_stage(meeting.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "low"), "hubs")
+    hubs = write_small(meeting.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "low"), "hubs")
     clusters = components(meeting.join(hubs, "bucket").where("component <> low").select(F.col("component").alias("a"), F.col("low").alias("b")))
     clusters = clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
     members = sketches.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")).join(clusters, "component")
     sized = members.join(sets, "node").withColumn("size", F.size("shingles"))
     of_component = sized.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
-    of_cluster = write_stage(of_component.groupBy("cluster").agg(
+    of_cluster = write_small(of_component.groupBy("cluster").agg(
         F.max(F.struct("n", "component")).alias("top"), F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("blocks")
     ).select("cluster", F.col("top.component").alias("main"), "blocks"), "clusters")
     dealt = sized.join(sketches.select("node", *_SKETCH), "node").join(of_cluster, "cluster").select(
@@ -186,7 +186,7 @@ def _contested_links(buckets: DataFrame, found: DataFrame, sketches: DataFrame,
                 yield records("a b", *[pa.array([pair[k] for pair in found], pa.int64()) for k in (0, 1)])
 
     spread = pairs.repartition("cluster", "i", "j").select("one", "two")
-    return write_stage(spread.mapInArrow(compare, "a long, b long").distinct(), "links")
+    return write_small(spread.mapInArrow(compare, "a long, b long").distinct(), "links")
 
 
 class _Block:
@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     linkable = described.where("doc IS NOT NULL AND node IS NOT NULL")
 
     places = linkable.select(F.explode("bands").alias("bucket"), "node")
-    several = write_stage(places.groupBy("bucket").agg(
+    several = write_small(places.groupBy("bucket").agg(
         F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("bucket", "n"), "several")
     buckets = write_stage(places.join(several.hint("shuffle_hash"), "bucket").distinct(), "buckets")
     weights = buckets.groupBy("node").agg(F.sum("n").alias("weight"))
@@ -250,11 +250,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     sets = write_stage(_full_sets(rows.where("doc IS NOT NULL"), sketches.select("doc", "node"), size).dropDuplicates(["node"]), "sets")
 
     weighed = buckets.join(sketches.select("node", "weight"), "node")
-    leaders = write_stage(weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("top")).select(
+    leaders = write_small(weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("top")).select(
         "bucket", F.col("top.node").alias("leader")), "leaders")
     pairs = buckets.join(leaders, "bucket").where("node <> leader").select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    links = write_stage(_links(pairs, sketches, sets, percent), "links")
+    links = write_small(_links(pairs, sketches, sets, percent), "links")
     found = components(links.union(_contested_links(buckets, components(links), sketches, sets, percent)))
 
     classes = linkable.groupBy("node").agg(F.min("doc").alias("first")).join(found, "node", "left").withColumn(
