@@ -46,29 +46,44 @@ def is_destroy_event() -> Column:
     return is_real_bucket(F.col("bucket_name")) & ends
 
 
-def bucket_visitors(records: DataFrame) -> DataFrame:
-    """The latest visitor of each real bucket; equal times go to the first record.
+VISITOR_SCHEMA = (
+    "bucket_name string, visitor_id string, event_ts timestamp, log_stream string, start_ts timestamp, request_id string"
+)
+
+
+def latest_visitors(records: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """The latest visitor of each real bucket, of the records and of earlier runs; equal
+    times go to the first record.
 
     Top-1 per bucket with a map-side limit, so a hot bucket sends one row per map task.
     """
     candidates = records.where(
         is_real_bucket(F.col("bucket_name")) & ~is_destroy_event() & (F.coalesce("visitor_id", F.lit("")) != "")
     ).select("bucket_name", "visitor_id", "event_ts", "log_stream", "start_ts", "request_id")
+    if history is not None:
+        candidates = candidates.unionByName(history.select(*candidates.columns))
     order = [F.col("event_ts").desc_nulls_last(), F.col("log_stream"), F.col("start_ts"), F.col("request_id")]
-    return keep_first(candidates, ["bucket_name"], order).select(
+    return keep_first(candidates, ["bucket_name"], order)
+
+
+def bucket_visitors(records: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    return latest_visitors(records, history).select(
         join_key("bucket_name").alias("_bucket"), F.col("visitor_id").alias("_bucket_visitor")
     )
 
 
-def propagate_visitors(records: DataFrame, source: DataFrame | None = None) -> DataFrame:
+def propagate_visitors(
+    records: DataFrame, source: DataFrame | None = None, history: DataFrame | None = None
+) -> DataFrame:
     """Destroy and timeout events take the latest visitor of their bucket in the
-    whole batch; without a candidate they keep their own.
+    whole batch or in `history` (latest_visitors of earlier runs); without a
+    candidate they keep their own.
 
     `source` may be a written stage with the same rows, so the argmax pass reads
     only its six columns. Rows that take nothing get keys of their own that match
     nothing, so they spread over all tasks instead of meeting in one.
     """
-    latest = bucket_visitors(source if source is not None else records)
+    latest = bucket_visitors(source if source is not None else records, history)
     probe = F.when(is_destroy_event(), F.col("bucket_name")).otherwise(
         F.concat(F.lit("\u0000"), F.coalesce("request_id", F.lit("")))
     )

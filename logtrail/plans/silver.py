@@ -19,7 +19,7 @@ from logtrail.operators.geo import (
     second_source_records,
 )
 from logtrail.operators.sessions import assign_sessions, boundaries
-from logtrail.operators.visitors import enrich_visitors, propagate_visitors
+from logtrail.operators.visitors import VISITOR_SCHEMA, enrich_visitors, latest_visitors, propagate_visitors
 from logtrail.functions.timeparts import event_time, parse_utc
 from logtrail.session import write_stage
 from logtrail.sources.bronze import read_bronze
@@ -27,6 +27,7 @@ from logtrail.sources.geo_tables import read_geo_cache, write_geo_cache
 from logtrail.sources.ledger import commit_files, parquet_files, pending_files, read_ledger
 from logtrail.sources.paths import read_parquet_or_empty
 from logtrail.sources.silver import merge_silver, read_silver, silver_rows
+from logtrail.sources.versions import read_latest, write_version
 
 STAGE = "bronze_to_silver"
 OPEN_SCHEMA = "log_stream string, start_ts timestamp"
@@ -59,6 +60,7 @@ class SilverResult:
     core: DataFrame
     records: DataFrame
     geo: DataFrame
+    visitors: DataFrame
 
     @property
     def rows(self) -> DataFrame:
@@ -70,9 +72,10 @@ def build_silver(
     geo_inputs: GeoInputs,
     chunk: str | None = None,
     history: DataFrame | None = None,
+    visitor_history: DataFrame | None = None,
 ) -> SilverResult:
     """The Silver records of one batch of Bronze rows."""
-    return finish_silver(access_core(bronze, chunk), geo_inputs, chunk, history)
+    return finish_silver(access_core(bronze, chunk), geo_inputs, chunk, history, visitor_history)
 
 
 def finish_silver(
@@ -80,6 +83,7 @@ def finish_silver(
     geo_inputs: GeoInputs,
     chunk: str | None = None,
     history: DataFrame | None = None,
+    visitor_history: DataFrame | None = None,
 ) -> SilverResult:
     """Sessions, inherited visitors, deduplication, geolocation.
 
@@ -91,11 +95,16 @@ def finish_silver(
     core = write_stage(accesses, "access-core")
     session_chunk = chunk or fitting_width(core, [], F.unix_micros("event_ts"))
     sessions = assign_sessions(core, session_chunk, source=core, history=history)
-    unique = dedup_accesses(propagate_visitors(sessions, source=core))
+    unique = dedup_accesses(propagate_visitors(sessions, source=core, history=visitor_history))
     ips = write_stage(distinct_ips(core), "ips")
     geo = write_stage(extend_cache(ips, geo_inputs.cache, geo_inputs.city_blocks, geo_inputs.asn_blocks), "geo")
     records = attach_geo(unique, geo_dimension(ips, geo, geo_inputs.second))
-    return SilverResult(core, records, geo)
+    return SilverResult(core, records, geo, latest_visitors(core, visitor_history))
+
+
+def read_visitors(spark: SparkSession, base: str) -> DataFrame:
+    """Latest visitor of each bucket as of the last committed run."""
+    return read_latest(spark, base, spark.createDataFrame([], VISITOR_SCHEMA).schema)
 
 
 def session_history(silver: DataFrame) -> DataFrame:
@@ -166,9 +175,11 @@ def run_silver(
     history = session_history(read_silver(spark, silver_base))
     cache = read_geo_cache(spark, f"{control_base}/geo_cache")
     second = second_source_records(second_responses)
-    result = build_silver(bronze, GeoInputs(city_blocks, asn_blocks, cache, second), chunk, history)
+    seen = read_visitors(spark, f"{control_base}/visitors")
+    result = build_silver(bronze, GeoInputs(city_blocks, asn_blocks, cache, second), chunk, history, seen)
     write_geo_cache(result.geo, f"{control_base}/geo_cache", run_id)
     merged = merge_silver(result.records, silver_base)
+    write_version(write_stage(result.visitors, "visitors"), f"{control_base}/visitors", run_id)
     waiting = open_executions(result.core)
     if stale_before is not None:
         waiting.where(_stale(stale_before)).write.mode("overwrite").parquet(f"{control_base}/stale/run={run_id}")

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from logtrail.schemas import GEO_RECORD_SCHEMA
-from logtrail.sources.paths import path_exists
+from logtrail.sources.versions import read_latest, write_version
 
 CITY_BLOCK_SCHEMA = T.StructType(
     [
@@ -24,9 +22,6 @@ ASN_BLOCK_SCHEMA = T.StructType(
 )
 
 
-COMMIT_SCHEMA = "version string, committed_at string"
-
-
 def read_network_blocks(spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet") -> DataFrame:
     """Network blocks as Parquet or CSV with a header."""
     reader = spark.read.schema(schema)
@@ -34,27 +29,8 @@ def read_network_blocks(spark: SparkSession, path: str, schema: T.StructType, fi
 
 
 def read_geo_cache(spark: SparkSession, base: str) -> DataFrame:
-    """The version committed last; empty when there is none yet."""
-    if not path_exists(spark, _commits(base)):
-        return spark.createDataFrame([], GEO_RECORD_SCHEMA)
-    schema = T.StructType(GEO_RECORD_SCHEMA.fields + [T.StructField("version", T.StringType())])
-    table = spark.read.schema(schema).parquet(base)
-    commits = spark.read.schema(COMMIT_SCHEMA).json(_commits(base))
-    latest = commits.agg(F.max(F.struct("committed_at", "version")).alias("last")).first()["last"]["version"]
-    return table.where(F.col("version") == F.lit(latest)).drop("version")
+    return read_latest(spark, base, GEO_RECORD_SCHEMA)
 
 
 def write_geo_cache(cache: DataFrame, base: str, version: str) -> None:
-    """Write a complete version, then its commit record with the time.
-
-    A run that failed can be repeated with its id: its own version is overwritten.
-    `cache` must not be a plan over that version; runs pass a written stage.
-    """
-    spark = cache.sparkSession
-    cache.select(*GEO_RECORD_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{base}/version={version}")
-    commit = [(version, datetime.now(timezone.utc).isoformat(timespec="microseconds"))]
-    spark.createDataFrame(commit, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(_commits(base))
-
-
-def _commits(base: str) -> str:
-    return f"{base.rstrip('/')}-commits"
+    write_version(cache.select(*GEO_RECORD_SCHEMA.fieldNames()), base, version)

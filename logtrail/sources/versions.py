@@ -1,0 +1,35 @@
+"""Tables replaced as a whole: versions beside each other, the last commit counts."""
+
+from __future__ import annotations
+
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from logtrail.sources.paths import path_exists
+
+COMMIT_SCHEMA = "version string, committed_at string"
+
+
+def _commits(base: str) -> str:
+    return f"{base.rstrip('/')}-commits"
+
+
+def read_latest(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """The version committed last; empty when there is none yet."""
+    if not path_exists(spark, _commits(base)):
+        return spark.createDataFrame([], schema)
+    commits = spark.read.schema(COMMIT_SCHEMA).json(_commits(base))
+    latest = commits.agg(F.max(F.struct("committed_at", "version")).alias("last")).first()["last"]["version"]
+    return spark.read.schema(schema).parquet(f"{base}/version={latest}")
+
+
+def write_version(table: DataFrame, base: str, version: str) -> None:
+    """Write a complete version, then its commit record with the time.
+
+    A run that failed can be repeated with its id: its own version is overwritten,
+    so `table` must not be a plan over that version; runs pass a written stage.
+    """
+    table.write.mode("overwrite").parquet(f"{base}/version={version}")
+    commit = [(version, datetime.now(timezone.utc).isoformat(timespec="microseconds"))]
+    table.sparkSession.createDataFrame(commit, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(_commits(base))
