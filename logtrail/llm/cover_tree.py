@@ -36,7 +36,7 @@ PIVOTS = 32
 PIVOT_SAMPLE = 4096
 SHARD_ROWS = 4096
 GROUP_ROWS = 512
-LEAF = 64
+LEAF = 256
 LANES = 64
 NEAREST_PIVOTS = 2
 SHARD = "shard long, pivot int, centre binary, radius double, points binary, ids binary, counts binary, tree binary"
@@ -148,13 +148,13 @@ class Best:
 
     def offer(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         """Merge candidates (rows x n) with ids (n)."""
-        for row, own in zip(rows, scores):
-            hopeful = np.flatnonzero(own >= self.scores[row, -1])
-            if len(hopeful):
-                all_scores = np.concatenate([self.scores[row], own[hopeful]])
-                all_ids = np.concatenate([self.ids[row], ids[hopeful]])
-                keep = np.lexsort((all_ids, -all_scores))[: self.k]
-                self.scores[row], self.ids[row] = all_scores[keep], all_ids[keep]
+        hopes = scores >= self.scores[rows, -1][:, None]
+        for place in np.flatnonzero(hopes.any(axis=1)):
+            row, own, hopeful = rows[place], scores[place], np.flatnonzero(hopes[place])
+            all_scores = np.concatenate([self.scores[row], own[hopeful]])
+            all_ids = np.concatenate([self.ids[row], ids[hopeful]])
+            keep = np.lexsort((all_ids, -all_scores))[: self.k]
+            self.scores[row], self.ids[row] = all_scores[keep], all_ids[keep]
 
 
 def search(queries: Side, data: Side, best: Best) -> None:
