@@ -18,7 +18,8 @@ next attempt. The few entities with another attempt than 0 are joined to the
 documents that hold them; everything else is computed in place.
 
 Defined cases: null text stays null, empty text empty, without entities a text is
-returned unchanged. Where entities overlap, the earlier, then the longer, then
+returned unchanged. An e-mail address, a secret and a name have no greatest length:
+each is taken to its end. Where entities overlap, the earlier, then the longer, then
 the kind listed first is taken. Repeated rows are treated alike; other columns
 are kept as they are by `replace_in`.
 """
@@ -63,13 +64,13 @@ SURNAME_PARTS = {
 _NAME = r"[^\W\d_a-z][^\W\d_A-Z]+"
 _TITLE = "|".join(sorted((re.escape(t) for group in TITLES.values() for t in group), key=len, reverse=True))
 PATTERNS = {
-    "email": re.compile(r"(?<![\w.%+-])[\w.%+-]{1,64}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![\w@])"),
-    "secret": re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?P<value>[A-Za-z0-9+/_-]{12,512}={0,2})"),
+    "email": re.compile(r"(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+\.)+[A-Za-z]{2,}+(?![\w@])"),
+    "secret": re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|key)[\"']?\s*+[:=]\s*+[\"']?(?P<value>[A-Za-z0-9+/_-]{12,}+={0,2})"),
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     "card": re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"),
     "ip": re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\w)"),
     "phone": re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-]|\.\d)|(?<![\w.])\+\d{8,15}(?!\w)"),
-    "name": re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.?\s(?P<value>{_NAME}(?:[ -]{_NAME}){{0,2}})"),
+    "name": re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.?\s(?P<value>{_NAME}(?:[ -]{_NAME})*+)"),
 }
 #: A text without any of these characters or words holds no entity of the pattern.
 _NEEDS = {"email": ("@",), "ip": (".",)}

@@ -159,6 +159,18 @@ def test_surrogates_match_type_format_and_mentions():
         assert old not in text
 
 
+def test_long_entities_leave_nothing_behind():
+    secret = "aB3/" * 500
+    local, domain = "l" + "o.cal1" * 11 + "xyz", ".".join(f"part{n}" for n in range(12)) + ".example"
+    text = f"secret     =     '{secret}' Frau Anna Maria Luise Schmidt, {local}@{domain} {'n' * 5000}@{'m-' * 90}m.org end"
+    new, found = surrogates.replaced(text, KEY, {})
+    assert len(secret) == 2000 and len(local) == 70
+    assert [(e["kind"], text[e["start"] : e["stop"]]) for e in found] == [
+        ("secret", secret), ("name-first-female", "Anna"), ("name-first-female", "Maria"), ("name-first-female", "Luise"), ("name-last", "Schmidt"),
+        ("email", f"{local}@{domain}"), ("email", f"{'n' * 5000}@{'m-' * 90}m.org")]
+    assert all(rest not in new for rest in (secret[-12:], "Anna", "Luise", "Schmidt", local[-12:], "part11", "nnnn"))
+
+
 def test_collisions_are_resolved(spark):
     """More names than the list has: later attempts keep surrogates distinct."""
     names = [f"N{chr(97 + i // 26)}{chr(97 + i % 26)}x" for i in range(120)]
