@@ -9,7 +9,13 @@ address keeps its number range; a name part is replaced from a list of the same
 gender and script. The canonical form drops punctuation and case, so one entity
 written in two formats has one surrogate written in both formats (coreference);
 name parts are entities of their own, and inside a text a part that was seen
-behind a title is replaced wherever it stands capitalised.
+behind a title is replaced wherever it stands capitalised or in capitals.
+
+Telephone numbers are groups of digits, 8 to 15 in all, with a country code, a
+leading 0 or an area code in parentheses; without any of these, the North American
+and Spanish groupings. Dates are none. Name parts hold inner capitals and
+apostrophes. Not found: nine digits in one run without a mark, parts in small
+letters (von, de la), initials and titles in capitals or missing in TITLES.
 
 Collision check: all distinct entities of the corpus get their surrogate of attempt
 0. While two entities of a kind share a surrogate, or a surrogate equals an entity
@@ -61,7 +67,22 @@ SURNAME_PARTS = {
     "cyrillic": (["Бар", "Вол", "Гор", "Дан", "Кар", "Лев", "Мор", "Сол"], ["а", "е", "и", "о"], ["ков", "лин", "нов", "ров", "син"]),
     "greek": (["Αλ", "Βασ", "Δημ", "Καρ", "Μαρ", "Παπ"], ["α", "ι", "ο"], ["δης", "κης", "λος", "πουλος"]),
 }
-_NAME = r"[^\W\d_a-z][^\W\d_A-Z]+"
+# A letter that is no small one, then letters; a capital may follow an apostrophe, save the S of a genitive. The word ends behind it.
+_CAPITAL = r"[^\W\d_" + "".join(c for c in map(chr, range(0x530)) if c.islower()) + "]"
+_NAME = rf"{_CAPITAL}(?:[^\W\d_]++|(?=['’]))(?:['’](?![Ss](?!\w)){_CAPITAL}[^\W\d_]*+)*+(?!\w)"
+# Between the digit groups of a telephone number; the blanks are also those that do not break.
+_GAP = r"(?: ?[/–-] ?|[ .\u00a0\u202f])"
+_GROUPS = rf"(?:{_GAP}\d{{1,8}}+)"
+_PHONES = [
+    rf"\+\d{{1,8}}+(?:{_GAP}?\(\d{{1,5}}\){_GAP}?\d{{1,8}}+)?{_GROUPS}{{0,5}}(?!\w)",  # with a country code
+    rf"00[1-9]\d{{0,2}}+(?:{_GAP}?\(\d{{1,5}}\){_GAP}?\d{{1,8}}+)?{_GROUPS}{{1,5}}(?!\w)",
+    rf"0\d{{1,7}}+{_GROUPS}{{1,4}}(?!\w)",  # with a leading 0
+    rf"\((?:0\d{{0,4}}|[1-9]\d{{1,2}})\){_GAP}?\d{{1,8}}+{_GROUPS}{{0,4}}(?!\w)",
+    r"(?:\+\d{8,15}|0[1-9]\d{8,10}|00[1-9]\d{8,12})(?!\w)",
+    rf"(?:[6-9]\d\d(?:{_GAP}\d\d){{3}}|[89]\d{_GAP}\d{{3}}(?:{_GAP}\d\d){{2}})(?!\w)",  # Spanish, no mark but the form
+    r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-]|\.\d)",
+]
+_DATE = re.compile(r"(?:0[1-9]|[12]\d|3[01])([ ./-])(?:0[1-9]|[12]\d|3[01])\1(?:19|20)\d\d(?!\d)")
 _TITLE = "|".join(sorted((re.escape(t) for group in TITLES.values() for t in group), key=len, reverse=True))
 PATTERNS = {
     "email": re.compile(r"(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+\.)+[A-Za-z]{2,}+(?![\w@])"),
@@ -69,7 +90,7 @@ PATTERNS = {
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     "card": re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"),
     "ip": re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\w)"),
-    "phone": re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-]|\.\d)|(?<![\w.])\+\d{8,15}(?!\w)"),
+    "phone": re.compile(rf"(?<![\w.])(?=[+(\d])(?:{'|'.join(_PHONES)})"),
     "name": re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.?\s(?P<value>{_NAME}(?:[ -]{_NAME})*+)"),
 }
 #: A text without any of these characters or words holds no entity of the pattern.
@@ -105,6 +126,9 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     for order, (kind, pattern) in enumerate(PATTERNS.items()):
         if kind in _NEEDS and not all(need in text for need in _NEEDS[kind]):
             continue
+        if kind == "phone":
+            found += [(a, b, order, kind, canonical(kind, text[a:b])) for a, b in _phones(text)]
+            continue
         for match in pattern.finditer(text):
             if kind == "name":
                 found += [(a, b, order, k, c) for a, b, k, c in _name_parts(match)]
@@ -118,10 +142,10 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             found.append((start, stop, order, kind, canonical(kind, value)))
     names = {c: (k, o) for a, b, o, k, c in found if k.startswith("name")}
     if names:
-        again = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, names), key=len, reverse=True)) + r")(?!\w)")
-        known = {c.casefold(): (k, o, c) for c, (k, o) in names.items()}
+        known = {c.upper(): (k, o, c) for c, (k, o) in names.items()} | {c: (k, o, c) for c, (k, o) in names.items()}
+        again = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, known), key=len, reverse=True)) + r")(?!\w)")
         for match in again.finditer(text):
-            kind, order, own = known[match[0].casefold()]
+            kind, order, own = known[match[0]]
             found.append((match.start(), match.end(), order, kind, own))
     found.sort(key=lambda e: (e[0], -e[1], e[2]))
     out, end = [], 0
@@ -132,13 +156,31 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     return out
 
 
+def _phones(text: str):
+    """Spans of 8 to 15 digits; of more, the last groups are left, and looked at again. Dates are none."""
+    place = 0
+    while match := PATTERNS["phone"].search(text, place):
+        start, place = match.span()
+        if date := _DATE.match(text, start):
+            place = date.end()
+            continue
+        ends, digits = [], 0
+        for group in re.finditer(r"\d+", match[0]):
+            digits += len(group[0])
+            if 8 <= digits <= 15:
+                ends.append(start + group.end())
+        if ends:
+            place = ends[-1]
+            yield start, place
+
+
 def _name_parts(match: re.Match) -> list[tuple[int, int, str, str]]:
     gender = next(g for g, titles in TITLES.items() if match["title"] in titles)
     spans = [(m.start() + match.start("value"), m.end() + match.start("value")) for m in re.finditer(_NAME, match["value"])]
     out = []
     for place, (start, stop) in enumerate(spans):
         first = place < len(spans) - 1
-        text = match.string[start:stop]
+        text = canonical("name", match.string[start:stop])
         kind = f"name-first-{_gender(text, gender)}" if first else "name-last"
         out.append((start, stop, kind, text))
     return out
@@ -158,6 +200,8 @@ def canonical(kind: str, value: str) -> str:
         return re.sub(r"\D", "", value)
     if kind == "iban":
         return value.replace(" ", "")
+    if kind == "name":
+        return value.title() if value.isupper() else value
     return value.lower() if kind == "email" else value
 
 
@@ -217,7 +261,7 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
         body = form[0] + _like(form[1:-1], draw)
         return next(body + d for d in _DIGITS if luhn(body + d) == luhn(form)) if luhn(form) else body + _like(form[-1], draw)
     if kind == "phone":
-        kept = max(0, len(form) - 10)  # country code
+        kept = 2 if form.startswith("00") else 1 if form[0] == "0" else max(0, min(3, len(form) - 10))  # zeros or country code
         return form[:kept] + _like(form[kept:], draw)
     if kind == "iban":
         body = _like(form[4:], draw)
@@ -237,7 +281,7 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
         gender = kind.rsplit("-", 1)[1]
         pool = [n for (s, g), names in FIRST_NAMES.items() if s == script and gender in (g, ANY) for n in names]
         made = "-".join(pool[draw.below(len(pool))] for _ in range(1 + attempt))  # a list is finite: double names
-    return made.upper() if form.isupper() and len(form) > 1 else made
+    return made
 
 
 def _octet(part: str, draw: _Stream) -> int:
@@ -252,7 +296,7 @@ def laid_out(kind: str, value: str, made: str) -> str:
         return "".join(next(chars) if c.isalnum() else c for c in value)
     if kind == "email":
         return "".join(m.upper() if v.isupper() else m for v, m in zip_longest(value[: len(made)], made, fillvalue=""))
-    return made
+    return made.upper() if kind.startswith("name") and value.isupper() else made
 
 
 def replaced(text: str | None, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str | None, list[dict]]:

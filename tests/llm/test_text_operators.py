@@ -171,6 +171,40 @@ def test_long_entities_leave_nothing_behind():
     assert all(rest not in new for rest in (secret[-12:], "Anna", "Luise", "Schmidt", local[-12:], "part11", "nnnn"))
 
 
+PHONES = [
+    "+1 (643) 555-5742", "(643) 555-5742", "643-555-5742", "+44 20 7946 0958", "+44 (0)20 7946 0958", "020 7946 0958", "(020) 7946 0958", "07700 900123",
+    "+33 1 23 45 67 89", "01 23 45 67 89", "01.23.45.67.89", "0123456789", "0033 1 23 45 67 89", "+33 (0)1 23 45 67 89",
+    "+49 30 1234567", "030 1234567", "030/1234567", "030 / 12 34 56 78", "(030) 1234567", "+49 151 23456789", "0151-23456789", "+49 30 12 34 56 78",
+    "+34 612 34 56 78", "+34 612 345 678", "612 34 56 78", "91 123 45 67", "+34612345678", "01\u00a023\u00a045\u00a067\u00a089",
+]
+NO_PHONES = ["01.02.2024", "01/02/2024", "05-06-2023", "2024-01-02", "0.12345678", "10:15:30", "0123", "00 01 02", "1.234.567,89", "pages 120-135"]
+
+
+def test_telephone_forms_of_the_corpus_languages():
+    for phone in PHONES:
+        text = f"Tel: {phone}, or write."
+        assert [(text[a:b], k) for a, b, k, _ in surrogates.detect(text)] == [(phone, "phone")], phone
+        new, _ = surrogates.replaced(text, KEY, {})
+        assert new != text and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text)
+    for other in NO_PHONES:
+        assert surrogates.detect(f"on {other}, then") == [], other
+    two = "01 23 45 67 89 06 12 34 56 78 and +49 30 1234567 10115 2 31 Berlin"
+    assert [two[a:b] for a, b, _, _ in surrogates.detect(two)] == ["01 23 45 67 89", "06 12 34 56 78", "+49 30 1234567"]
+
+
+def test_name_forms():
+    names = {
+        "Mr SMITH": ["SMITH"], "Mr. O'Brien": ["O'Brien"], "Mr McDonald": ["McDonald"], "Mr Smith's": ["Smith"], "Monsieur D’Artagnan": ["D’Artagnan"],
+        "Herr Jörg MÜLLER-Lüdenscheidt": ["Jörg", "MÜLLER", "Lüdenscheidt"], "Señora María José GARCÍA": ["María", "José", "GARCÍA"],
+        "Madame Élodie DUPONT": ["Élodie", "DUPONT"], "Monsieur Dupont était": ["Dupont"], "Mr Smith2": [], "Mr smith": [],
+    }
+    for text, parts in names.items():
+        assert [text[a:b] for a, b, _, _ in surrogates.detect(text)] == parts, text
+    new, found = surrogates.replaced("Mr SMITH, then Mr Smith; SMITH and Smith", KEY, {})
+    made = [e["surrogate"] for e in found]
+    assert made == [made[1].upper(), made[1], made[1].upper(), made[1]] and made[1].istitle() and "mith" not in new.lower()
+
+
 def test_collisions_are_resolved(spark):
     """More names than the list has: later attempts keep surrogates distinct."""
     names = [f"N{chr(97 + i // 26)}{chr(97 + i % 26)}x" for i in range(120)]
