@@ -281,6 +281,20 @@ def test_op4_finds_every_leak(spark):
     assert decontaminate.op4_decontaminate(frame(spark, []), bench).count() == 0
 
 
+def test_op4_finds_items_edited_in_the_middle(spark):
+    """One word changed in the middle: 0.80 to 0.85. A few in 10,000 differ in more than 19 bits and are lost, here item 310."""
+    items = [(n, prose(49 + n % 16, 1000 + n, 5000)) for n in range(400)]
+    texts = []
+    for n, text in items:
+        words = text.split()
+        words[len(words) // 2] = "changed"
+        texts.append((n, f"{prose(9, 2000 + n, 5000)} {' '.join(words)} {prose(9, 3000 + n, 5000)}"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.hamming) for r in decontaminate.op4_decontaminate(frame(spark, texts), bench).collect()}
+    assert {n for n, _ in items} - {d for d, i in got if d == i} <= {310} and all(d == i for d, i in got)
+    assert all(0.8 <= s <= 0.85 for s, _ in got.values()) and max(h for _, h in got.values()) > 14
+
+
 def test_hamming_index_misses_no_pair_within_the_radius(spark):
     import random
 
