@@ -18,9 +18,29 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each group of near duplicates; five words, 0.8."""
-    found = write_stage(odd_sketch.near_duplicates(docs, size=5, percent=80).where("NOT kept").select("doc_id").distinct(), "dropped")
-    return docs.join(found, "doc_id", "left_anti")
+    """One row of each group of near duplicates; five words, 0.8.
+
+    Rows are known by id and text, so of an id with several texts only those go
+    that repeat. The row with the smallest id stays, one without an id only if no
+    other has one; rows that repeat id and text are one, the smallest by its other columns.
+    Texts without words are near nothing.
+    """
+    mark = "row_mark"
+    while mark in docs.columns:
+        mark += "_"
+    marked = docs.withColumn(mark, F.xxhash64("doc_id", "text"))
+    rows = write_stage(marked.groupBy(F.col(mark).alias("mark")).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n")), "rows")
+    groups = odd_sketch.near_duplicates(marked.select(F.col(mark).alias("mark"), "text"), key="mark", size=5, percent=80)
+    groups = write_stage(groups.select("mark", "component_id").distinct().join(rows, "mark"), "groups")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark"))
+    kept = groups.groupBy("component_id").agg(first.alias("first")).select(F.col("first.mark").alias("mark"))
+    dropped = write_stage(rows.join(kept, "mark", "left_anti").select(F.col("mark").alias(mark)), "dropped")
+    left = marked.join(dropped, mark, "left_anti")
+    again = write_stage(rows.where("n > 1").select(F.col("mark").alias(mark)), "again")
+    if not again.limit(1).count():
+        return left.select(docs.columns)
+    once = left.join(again, mark, "left_semi").groupBy(mark).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return left.join(again, mark, "left_anti").select(docs.columns).union(once)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

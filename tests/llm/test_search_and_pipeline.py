@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from llm_cases import SF, near_brute, sha
+from llm_cases import SF, frame, near_brute, prose, sha
 from logtrail.llm import bpe, cover_tree, decontaminate, language, queries, surrogates
 from pyspark.sql import functions as F
 
@@ -86,6 +86,21 @@ def test_pipeline_against_stage_by_stage_brute_force(spark):
     assert Counter(tuple(r) for r in found.collect()) == expected
 
 
+def test_near_duplicates_are_dropped_by_row(spark):
+    """Ids with several texts, rows that repeat, null ids."""
+    a, b, c, d, e = (prose(160, 30 + n) for n in range(5))
+    near = f"{a} more"
+    texts = [
+        (1, a), (2, near), (2, b), (3, c), (3, c), (3, c), (4, c), (None, c), (None, d), (None, d), (None, f"{d} more"), (5, e), (5, f"{e} more"),
+        (6, ""), (6, ""), (7, ""), (None, None), (8, None), (None, e),
+    ]
+    found = Counter((r.doc_id, r.text) for r in corpus_pipeline.distinct_texts(spark, frame(spark, texts), SF).collect())
+    either = [[(None, d), (None, f"{d} more")], [(5, e), (5, f"{e} more")]]
+    for pair in either:
+        assert sum(found.pop(row, 0) for row in pair) == 1
+    assert found == Counter([(1, a), (2, b), (3, c), (6, ""), (7, ""), (None, None), (8, None)])
+
+
 def test_stages_keep_the_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
