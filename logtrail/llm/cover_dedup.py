@@ -14,7 +14,8 @@ each task and hash, because both aggregations are partial before the shuffle;
 joins on hashes are plain joins that Spark can split.
 
 Exact copies are settled first: a text with an equal word sequence in a smaller
-document goes as a whole, and only the first copy takes part further on.
+document goes as a whole, and only the first copy takes part further on. An id
+that carries several texts takes part with all of them.
 
 Defined cases: null and empty texts have no words; of rows that repeat an id all
 words count as that document's, and each row is returned; a null id is no
@@ -66,8 +67,8 @@ def covered(starts: np.ndarray, n_words: int, length: int) -> np.ndarray:
     return np.cumsum(change)[:n_words] > 0
 
 
-def _later_copies(rows: DataFrame, length: int) -> DataFrame:
-    """Documents whose word sequence stands whole in a smaller document. An id with several texts is none."""
+def _later_copies(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Documents whose word sequence stands whole in a smaller document; ids with several texts, which are none."""
 
     def describe(source):
         for batch in batches(source):
@@ -78,10 +79,11 @@ def _later_copies(rows: DataFrame, length: int) -> DataFrame:
                 *[pa.array([own.identity(i, which) for i in held], pa.int64()) for which in (0, 1)],
             )
 
-    marks = rows.mapInArrow(describe, "doc long, one long, two long").select("doc", F.struct("one", "two").alias("mark"))
+    marks = write_stage(rows.mapInArrow(describe, "doc long, one long, two long"), "marks").select("doc", F.struct("one", "two").alias("mark"))
     firsts = marks.groupBy("mark").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    single = marks.groupBy("doc").agg(F.min("mark").alias("mark"), F.max("mark").alias("other")).where("mark = other")
-    return single.join(firsts, "mark").where("doc > first").select("doc")
+    of_doc = marks.groupBy("doc").agg(F.min("mark").alias("mark"), F.max("mark").alias("other"))
+    copies = of_doc.where("mark = other").join(firsts, "mark").where("doc > first").select("doc")
+    return write_stage(copies, "copies"), write_stage(of_doc.where("mark <> other").select("doc"), "several")
 
 
 def _anchors(rows: DataFrame, length: int) -> DataFrame:
@@ -109,9 +111,12 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
     if length <= PERIOD:
         raise ValueError(f"windows need more than {PERIOD} words")
     known = rows.where("doc IS NOT NULL")
-    copies = write_stage(_later_copies(known, length), "copies")
+    copies, several = _later_copies(known, length)
     anchors = _anchors(known, length)
-    shared = anchors.groupBy("hash").agg(F.min("mark").alias("least"), F.max("mark").alias("most")).where("least < most").select("hash")
+    # One text stands for all its copies, but an id with several texts is no copy: its anchors count for themselves.
+    own = anchors.join(several.withColumn("several", F.lit(True)), "doc", "left")
+    own = own.select("hash", F.when(F.col("several"), F.xxhash64("mark", "doc")).otherwise(F.col("mark")).alias("mark"))
+    shared = own.groupBy("hash").agg(F.min("mark").alias("least"), F.max("mark").alias("most")).where("least < most").select("hash")
     # Written, so that the joins below stand apart from the aggregations and Spark can split hot hashes.
     shared = write_stage(shared, "shared")
     places = anchors.select("hash", "doc", "place").join(shared.hint("shuffle_hash"), "hash", "left_semi")

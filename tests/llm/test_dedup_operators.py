@@ -39,6 +39,14 @@ def test_op10_edges(spark):
     assert cover_dedup.op10_cover_dedup(frame(spark, [])).count() == 0
 
 
+def test_op10_ids_with_several_texts(spark):
+    """A text that repeats a smaller document under an id that carries another text too."""
+    a, b, c, d = (prose(60 + n, 20 + n) for n in range(4))
+    texts = [(3, a), (5, a), (5, b), (7, b), (8, c), (8, d), (9, c), (9, a), (9, "few words"), (10, d), (10, d), (11, c), (None, a), (12, b), (12, "few words")]
+    found = cover_dedup.remove_repeats(frame(spark, texts))
+    assert digest(found, "n_words", "n_removed") == cover_brute(texts, 50)
+
+
 def test_op3_on_the_tables(spark):
     assert rows(queries.REGISTRY["op3_suffix_dedup"](spark, SF)) == suffix_brute(texts_of(spark), 400)
 
