@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logtrail.llm import bpe, cover_dedup, cover_tree, decontaminate, language, licenses, odd_sketch, suffix_dedup, surrogates, toxicity
+from logtrail.llm import bpe, cover_dedup, cover_tree, decontaminate, fill_middle, language, licenses, odd_sketch, suffix_dedup, surrogates, toxicity
 from logtrail.llm.common import table
 from logtrail.session import configure
 
@@ -32,3 +32,4 @@ _over(cover_dedup.op10_cover_dedup, "documents")
 _over(cover_tree.op7_cover_tree, "embeddings")
 _over(decontaminate.op4_decontaminate, "documents", "benchmark")
 _over(suffix_dedup.op3_suffix_dedup, "documents")
+_over(fill_middle.op12_fill_middle, "documents")
