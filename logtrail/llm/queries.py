@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logtrail.llm import bpe, cover_dedup, cover_tree, decontaminate, dialogue_repair, fill_middle, language, licenses, odd_sketch, suffix_dedup, surrogates, toxicity
+from logtrail.llm import bpe, collision_join, cover_dedup, cover_tree, decontaminate, dialogue_repair, fill_middle, language, licenses, odd_sketch, suffix_dedup, surrogates, toxicity
 from logtrail.llm.common import table
 from logtrail.session import configure
 
@@ -34,3 +34,4 @@ _over(decontaminate.op4_decontaminate, "documents", "benchmark")
 _over(suffix_dedup.op3_suffix_dedup, "documents")
 _over(fill_middle.op12_fill_middle, "documents")
 _over(dialogue_repair.op13_dialogue_repair, "conversations")
+_over(collision_join.op11_collision_join, "embeddings")
