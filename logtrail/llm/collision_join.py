@@ -266,7 +266,8 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
     )
     groups = components(found.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")))
     grouped = classes.select("node", "least", "copies").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    heads = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
+    # Written, so that the join can split a component of very many classes.
+    heads = write_stage(grouped.groupBy("group").agg(F.min("least").alias("component_id")), "vector-components")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     result = write_stage(
         grouped.join(heads, "group").join(links, "node", "left").select(
