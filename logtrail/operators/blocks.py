@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logtrail.functions.timeparts import event_time
-from logtrail.operators.carry import CHUNK, Mark, running_last
+from logtrail.operators.carry import CHUNK, RANGE, RANGE_ROWS, WIDTH, Ranges, carry_back, cut
 from logtrail.schemas import BLOCK_COLUMNS
 
 # The marks that delimit an execution, and the id behind a mark.
@@ -43,40 +43,71 @@ def streamless_lines(events: DataFrame) -> DataFrame:
     return events.where(F.col("log_stream").isNull())
 
 
-def assign_starts(lines: DataFrame, chunk: str = "1 hour") -> DataFrame:
+STREAM, ORDER = ["log_stream"], ["t", "event_id"]
+
+
+def cut_streams(measured: DataFrame, chunk: str = WIDTH, rows: int = RANGE_ROWS) -> Ranges:
+    """Ranges of the log lines; `measured` may be the lines before deduplication."""
+    return cut(log_lines(measured), STREAM, "t", ["event_id"], chunk, rows)
+
+
+def assign_starts(lines: DataFrame, ranges: Ranges | None = None) -> DataFrame:
     """Give every line the START it belongs to; lines before the first START go.
 
-    A line with both patterns is a START. Lines that follow the END of their
-    execution are cut where START and END lie in the same chunk; the few that
-    cross a chunk border are cut in assemble().
+    A line with both patterns is a START. Two marks are carried across the ranges
+    of a stream: the last START, and whether its END has been seen, so that lines
+    behind an END go here, in whatever range they lie. Only where a foreign END
+    comes between may some stay; assemble() cuts those.
     """
+    ranges = ranges or Ranges(STREAM, "t", ["event_id"])
     start_id = request_id_after(START_MARK, F.col("message"))
-    start = Mark("start", start_id != "", [start_id.alias("request_id"), F.col("log_group").alias("log_group")])
-
-    def cut_after_end(chunked: DataFrame) -> DataFrame:
-        spec = Window.partitionBy("log_stream", CHUNK).orderBy("t", "event_id")
-        before = spec.rowsBetween(Window.unboundedPreceding, -1)
-        starts_here = (F.col("start.t") == F.col("t")) & (F.col("start.event_id") == F.col("event_id"))
-        with_end = chunked.withColumn(
-            "end_id", F.when(starts_here, "").otherwise(request_id_after(END_MARK, F.col("message")))
-        )
-        closes = F.col("end_id") == F.col("start.request_id")
-        closed = F.last(F.when(closes, F.struct("start.t", "start.event_id")), ignorenulls=True).over(before)
-        return (
-            with_end.withColumn("closed", closed)
-            .where(F.coalesce(F.col("closed") != F.struct("start.t", "start.event_id"), F.lit(True)))
-            .drop("closed")
-        )
-
-    marked = running_last(lines, ["log_stream"], "t", ["event_id"], [start], chunk, within_chunk=cut_after_end)
-    return marked.where(F.col("start").isNotNull())
+    start = F.when(start_id != "", F.struct(*ORDER, start_id.alias("request_id"), "log_group"))
+    end_id = F.when(start_id != "", "").otherwise(request_id_after(END_MARK, F.col("message")))
+    end = F.when(end_id != "", F.struct(*ORDER, end_id.alias("end_id")))
+    spec = ranges.window()
+    upto = spec.rowsBetween(Window.unboundedPreceding, 0)
+    before = spec.rowsBetween(Window.unboundedPreceding, -1)
+
+    here = ranges.dealt(lines).withColumn("own", F.last(start, ignorenulls=True).over(upto)).withColumn("end_id", end_id)
+    closes = F.col("end_id") == F.col("own.request_id")
+    here = here.withColumns({
+        "closed": F.last(F.when(closes, F.struct("own.t", "own.event_id")), ignorenulls=True).over(before),
+        "first_end": F.first(F.when(F.col("end_id") != "", F.col("end_id")), ignorenulls=True).over(before),
+    })
+    here = here.where(F.coalesce(F.col("closed") != F.struct("own.t", "own.event_id"), F.lit(True))).drop("closed")
+
+    summary = ranges.dealt(lines).groupBy(*ranges.grouping).agg(
+        F.max(start).alias("start"), F.min(end).alias("first_end"), F.max(end).alias("last_end")
+    )
+    along = ranges.across()
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.withColumn("carried", F.last("start", ignorenulls=True).over(earlier))
+    ended_own = (F.struct("last_end.t", "last_end.event_id") > F.struct("start.t", "start.event_id")) & (
+        F.col("last_end.end_id") == F.col("start.request_id")
+    )
+    ended_carried = F.col("carried.request_id").isin(F.col("first_end.end_id"), F.col("last_end.end_id"))
+    ends = F.coalesce(F.when(F.col("start").isNotNull(), ended_own).otherwise(ended_carried), F.lit(False))
+    left_open = F.coalesce("start", "carried")
+    running = Window.partitionBy(*STREAM, "open.t", "open.event_id").orderBy(CHUNK, RANGE).rowsBetween(Window.unboundedPreceding, 0)
+    summary = summary.withColumns({"open": left_open, "ends": ends}).withColumn("over", F.max("ends").over(running))
+    summary = summary.withColumn("over", F.coalesce(F.lag("over").over(along), F.lit(False)))
+
+    joined = carry_back(here, summary, ranges, ["carried", "over"])
+    behind = F.col("own").isNull() & (F.col("over") | (F.col("first_end") == F.col("carried.request_id")))
+    return (
+        joined.where(~F.coalesce(behind, F.lit(False)))
+        .withColumn("start", F.coalesce("own", "carried"))
+        .where(F.col("start").isNotNull())
+        .drop("own", "carried", "over", "first_end", CHUNK, RANGE)
+    )
 
 
 def assemble(marked: DataFrame) -> DataFrame:
     """Group the lines of each execution and join them in order.
 
-    Lines behind the END are dropped before the group is gathered, so its size is
-    that of one output text. Window and group share one shuffle.
+    assign_starts() has dropped the lines behind the END, but for those a foreign
+    END has hidden; the window cuts these, so a group has the size of one output
+    text. Window and group share one shuffle.
     Two technical columns stay: start_t and start_event_id, the key of the START.
     """
     keyed = marked.withColumns({"start_t": F.col("start.t"), "start_event_id": F.col("start.event_id")})
@@ -107,6 +138,12 @@ def assemble(marked: DataFrame) -> DataFrame:
     )
 
 
-def build_blocks(events: DataFrame, chunk: str = "1 hour") -> DataFrame:
-    """Deduplicated Bronze rows -> the seven block columns."""
-    return assemble(assign_starts(log_lines(events), chunk)).select(*BLOCK_COLUMNS)
+def build_blocks(
+    events: DataFrame, chunk: str = WIDTH, rows: int = RANGE_ROWS, measured: DataFrame | None = None
+) -> DataFrame:
+    """Deduplicated Bronze rows -> the seven block columns.
+
+    `measured` (the rows before deduplication) is what the ranges are cut by.
+    """
+    ranges = cut_streams(events if measured is None else measured, chunk, rows)
+    return assemble(assign_starts(log_lines(events), ranges)).select(*BLOCK_COLUMNS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logtrail.functions import addresses, identity, useragents
-from logtrail.operators.carry import Mark, running_last
+from logtrail.operators.carry import RANGE_ROWS, WIDTH, Mark, cut, running_last
 from logtrail.operators.dedup import keep_first
 from logtrail.operators.once import join_key
 
@@ -93,7 +93,7 @@ def propagate_visitors(
     )
 
 
-def propagate_visitors_as_of(records: DataFrame, chunk: str = "1 hour") -> DataFrame:
+def propagate_visitors_as_of(records: DataFrame, chunk: str = WIDTH, rows: int = RANGE_ROWS) -> DataFrame:
     """Variant: only visitors at or before the destroy itself count (as-of per bucket)."""
     source = ~is_destroy_event() & is_real_bucket(F.col("bucket_name"))
     # Only real buckets are searched; other rows spread over keys of their own.
@@ -106,7 +106,7 @@ def propagate_visitors_as_of(records: DataFrame, chunk: str = "1 hour") -> DataF
         ),
     )
     seen = Mark("_seen", source, [F.col("visitor_id").alias("visitor_id")])
-    marked = running_last(keyed, ["_bucket_key"], "_t", ["log_stream", "start_ts", "request_id"], [seen], chunk)
+    marked = running_last(keyed, cut(keyed, ["_bucket_key"], "_t", ["log_stream", "start_ts", "request_id"], chunk, rows), [seen])
     inherits = is_destroy_event() & F.col("_seen").isNotNull()
     return marked.withColumn(
         "visitor_id", F.when(inherits, F.col("_seen.visitor_id")).otherwise(F.col("visitor_id"))

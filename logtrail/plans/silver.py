@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logtrail.operators.blocks import build_blocks
-from logtrail.operators.carry import fitting_width
+from logtrail.operators.carry import RANGE_ROWS, WIDTH
 from logtrail.operators.classify import classify_accesses
 from logtrail.operators.dedup import dedup_accesses, dedup_events
 from logtrail.operators.extract import extract_accesses
@@ -40,11 +40,9 @@ def accesses_of(blocks: DataFrame) -> DataFrame:
     )
 
 
-def access_core(bronze: DataFrame, chunk: str | None = None) -> DataFrame:
-    """Bronze rows -> accesses. Without `chunk` the busiest hour of a stream sets it."""
-    if chunk is None:
-        chunk = fitting_width(bronze, ["log_stream"], F.unix_micros(event_time(bronze)))
-    return dedup_events(bronze).transform(build_blocks, chunk).transform(accesses_of)
+def access_core(bronze: DataFrame, chunk: str = WIDTH, rows: int = RANGE_ROWS) -> DataFrame:
+    """Bronze rows -> accesses."""
+    return dedup_events(bronze).transform(build_blocks, chunk, rows, bronze).transform(accesses_of)
 
 
 @dataclass(frozen=True)
@@ -70,7 +68,7 @@ class SilverResult:
 def build_silver(
     bronze: DataFrame,
     geo_inputs: GeoInputs,
-    chunk: str | None = None,
+    chunk: str = WIDTH,
     history: DataFrame | None = None,
     visitor_history: DataFrame | None = None,
 ) -> SilverResult:
@@ -81,7 +79,7 @@ def build_silver(
 def finish_silver(
     accesses: DataFrame,
     geo_inputs: GeoInputs,
-    chunk: str | None = None,
+    chunk: str = WIDTH,
     history: DataFrame | None = None,
     visitor_history: DataFrame | None = None,
 ) -> SilverResult:
@@ -93,8 +91,7 @@ def finish_silver(
     on the address alone, so the result is the same with fewer rows joined.
     """
     core = write_stage(accesses, "access-core")
-    session_chunk = chunk or fitting_width(core, [], F.unix_micros("event_ts"))
-    sessions = assign_sessions(core, session_chunk, source=core, history=history)
+    sessions = assign_sessions(core, chunk, source=core, history=history)
     unique = dedup_accesses(propagate_visitors(sessions, source=core, history=visitor_history))
     ips = write_stage(distinct_ips(core), "ips")
     geo = write_stage(extend_cache(ips, geo_inputs.cache, geo_inputs.city_blocks, geo_inputs.asn_blocks), "geo")
@@ -152,7 +149,7 @@ def run_silver(
     second_responses: DataFrame,
     run_id: str,
     updated_at_utc: str,
-    chunk: str | None = None,
+    chunk: str = WIDTH,
     stale_before: str | None = None,
 ) -> dict:
     """One incremental run: pending Bronze files -> merged Silver -> cache -> ledger.

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,16 +45,42 @@ def build_session(app_name: str = "logtrail", master: str | None = None, **extra
 def stage_root(spark: SparkSession) -> str:
     """Shared folder for written stages: the cluster's spark.checkpoint.dir.
 
-    Only a local session may fall back to a folder of its own.
+    Only a local session may leave it unset; the stages then lie in its warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="logtrail-stage-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+
+
+@cache
+def _application_folder(spark: SparkSession, root: str, application: str) -> str:
+    """The stages of one application lie together and go when it ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{application}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{root}/{application}"
+
+
+# Paths of the stages written inside the innermost stages_of_run().
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def stages_of_run(spark: SparkSession) -> Iterator[None]:
+    """Stages written inside are removed at the end; what a run returns has to be read by then."""
+    written: list[str] = []
+    outer = _WRITTEN.set(written)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(outer)
+        for path in written:
+            location = spark._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def write_stage(df: DataFrame, name: str) -> DataFrame:
@@ -62,6 +91,10 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     lost executor costs a re-read instead of a recomputation.
     """
     spark = df.sparkSession
-    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = _application_folder(spark, stage_root(spark), spark.sparkContext.applicationId)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    written = _WRITTEN.get()
+    if written is not None:
+        written.append(path)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -34,7 +34,7 @@ def events_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def executions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks.build_blocks(events_once(spark, sf_dir))
+    return blocks.build_blocks(events_once(spark, sf_dir), measured=fixture.bronze(spark, sf_dir))
 
 
 def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from logtrail.operators.blocks import build_blocks
+from logtrail.operators import carry
+from logtrail.operators.blocks import assign_starts, build_blocks, cut_streams, log_lines
 from logtrail.operators.dedup import dedup_events
 from logtrail.schemas import BLOCK_COLUMNS
 
@@ -108,6 +109,18 @@ def test_execution_over_chunk_borders(spark):
     assert block.block_closed and block.block_text == "START RequestId: a\nx\nEND RequestId: a"
 
 
+@pytest.mark.parametrize("rows", [10**6, 40])
+def test_lines_behind_an_end_go_before_the_group(spark, rows, monkeypatch):
+    """A day of lines behind one END, in many ranges, and an END in a range without its START."""
+    monkeypatch.setattr(carry, "SAMPLES", 4)
+    noise = [(f"n{i:04d}", "s", 5000 + 97 * i, "noise") for i in range(900)]
+    data = [("a", "s", 0, "START RequestId: r"), ("b", "s", 4900, "END RequestId: r"), *noise,
+            ("y", "s", 95000, "START RequestId: q"), ("z", "s", 95001, "x")]
+    events = lines(spark, *data)
+    marked = assign_starts(log_lines(events), cut_streams(events, rows=rows))
+    assert sorted(r.event_id for r in marked.collect()) == ["a", "b", "y", "z"]
+
+
 def test_copies_keep_one(spark):
     rows = [("1", "s", 0, "START RequestId: a"), ("2", "s", 1, "x"), ("3", "s", 2, "END RequestId: a")]
     assert blocks_of(spark, *rows, *rows) == blocks_of(spark, *rows)
@@ -143,8 +156,10 @@ def machine(rows):
     return sorted((s, rid, "\n".join(text), closed) for s, rid, text, closed in out)
 
 
-@pytest.mark.parametrize("chunk", ["1 second", "7 seconds", "1 hour"])
-def test_random_lines_equal_state_machine(spark, chunk):
+@pytest.mark.parametrize("chunk, rows", [("1 second", 10**6), ("7 seconds", 10**6), ("1 hour", 10**6), ("1 hour", 70), ("7 seconds", 5)])
+def test_random_lines_equal_state_machine(spark, chunk, rows, monkeypatch):
+    monkeypatch.setattr(carry, "SAMPLES", 4)
+    size = rows
     rng = random.Random(7)
     rows = []
     for i in range(1200):
@@ -153,7 +168,7 @@ def test_random_lines_equal_state_machine(spark, chunk):
             [f"START RequestId: {rid}", f"END RequestId: {rid}", f"END RequestId: {rid}", "text", f"REPORT {rid}"]
         )
         rows.append((f"{i:05d}", f"s{rng.randrange(3)}", rng.randrange(300), f"{message} #{i}"))
-    found = build_blocks(lines(spark, *rows), chunk).collect()
+    found = build_blocks(lines(spark, *rows), chunk, size).collect()
     assert sorted((b.log_stream, b.request_id, b.block_text, b.block_closed) for b in found) == machine(rows)
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from logtrail.operators.blocks import assign_starts, log_lines
-from logtrail.operators.carry import fitting_width
+from logtrail.operators.blocks import assign_starts, build_blocks, cut_streams, log_lines
+from logtrail.operators.carry import cut
 from logtrail.operators.dedup import dedup_accesses
 from logtrail.operators.geo import attach_geo
+from logtrail.operators.sessions import TIES, assign_sessions, time_key
 from logtrail.operators.visitors import propagate_visitors
 from logtrail.session import write_stage
 
@@ -70,31 +71,47 @@ def test_hot_address_and_hot_bucket_are_split(small_thresholds):
     assert inherited.count() == 20000
 
 
-def test_hot_stream_is_cut_into_chunks(spark):
-    lines = spark.range(0, 50000, numPartitions=8).select(
+def hot_lines(spark, seconds):
+    """50,000 lines of one stream at the given times."""
+    return spark.range(0, 50000, numPartitions=8).select(
         F.format_string("%08d", "id").alias("event_id"),
         F.lit("hot").alias("log_stream"),
-        F.timestamp_seconds(F.col("id")).alias("timestamp_utc"),
+        F.expr(seconds).alias("timestamp_utc"),
         F.when(F.col("id") % 10 == 0, F.concat(F.lit("START RequestId: r"), F.col("id"))).otherwise("x").alias("message"),
     )
-    width = fitting_width(lines, ["log_stream"], F.unix_micros("timestamp_utc"), target_rows=100)
-    assert width == "1 minute"
+
+
+@pytest.mark.parametrize("seconds", ["timestamp_seconds(id)", "timestamp_seconds(7)", "cast(NULL AS timestamp)"])
+def test_hot_stream_is_cut_into_ranges_of_rows(spark, seconds):
+    lines = hot_lines(spark, seconds)
+    ranges = cut_streams(lines, rows=1000)
+    sizes = [row["count"] for row in ranges.number(log_lines(lines)).groupBy(*ranges.grouping).count().collect()]
+    assert sum(sizes) == 50000 and max(sizes) < 1700 and len(sizes) >= 40
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        spread = assign_starts(log_lines(lines), width).groupBy(F.spark_partition_id().alias("p")).count()
-        sizes = [row["count"] for row in spread.collect()]
+        spread = assign_starts(log_lines(lines), ranges).groupBy(F.spark_partition_id().alias("p")).count()
+        tasks = [row["count"] for row in spread.collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert sum(sizes) == 50000 and len(sizes) == 4 and max(sizes) < 17000
+    assert sum(tasks) == 50000 and len(tasks) == 4 and max(tasks) < 20000
+    if "id" not in seconds:
+        assert build_blocks(lines, rows=1000).count() == 5000
 
 
-def test_fitting_width(spark):
-    def width(seconds_between: float, rows: int) -> str:
-        df = spark.range(rows).select(F.timestamp_micros((F.col("id") * int(seconds_between * 1e6))).alias("t"))
-        return fitting_width(df, [], F.unix_micros("t"), target_rows=60)
+def test_sessions_of_one_crowded_second(spark):
+    """All records of a site in one second: the scan still runs in ranges."""
+    records = spark.range(0, 20000, numPartitions=8).select(
+        F.format_string("%08d", "id").alias("request_id"), F.timestamp_seconds(F.lit(5)).alias("event_ts"), F.lit("s").alias("log_stream"),
+        F.timestamp_seconds(F.lit(5)).alias("start_ts"), (F.col("id") % 100 == 0).alias("disparou_apply"), (F.col("id") % 100 == 49).alias("disparou_destroy"),
+    )
+    ranges = cut(records.withColumn("_t", time_key()), [], "_t", TIES, rows=1000)
+    sizes = [r["count"] for r in ranges.number(records.withColumn("_t", time_key())).groupBy(*ranges.grouping).count().collect()]
+    assert max(sizes) < 1700
+    found = assign_sessions(records, rows=1000)
+    assert found.groupBy("site_session_id").count().where("count = 50").count() == 200
+    assert found.select("site_session_id").distinct().count() == 200 + 200 * 50
+
 
-    assert width(60, 500) == "1 hour"
-    assert width(10, 2000) == "10 minutes"
-    assert width(1, 8000) == "1 minute"
-    assert width(0.001, 20000) == "10 seconds"
-    assert fitting_width(spark.range(0).select(F.current_timestamp().alias("t")), [], F.unix_micros("t")) == "1 hour"
+def test_few_rows_need_no_borders(spark):
+    assert cut_streams(hot_lines(spark, "timestamp_seconds(id)")).borders is None
+    assert cut_streams(hot_lines(spark, "timestamp_seconds(id)").limit(0)).borders is None

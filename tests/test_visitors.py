@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logtrail.functions import addresses, identity, useragents
+from logtrail.operators import carry
 from logtrail.operators.sessions import assign_sessions
 from logtrail.operators.visitors import enrich_visitors, propagate_visitors, propagate_visitors_as_of
 
@@ -150,8 +151,9 @@ def test_cycle_isolated_and_new_apply(spark):
     assert len(set(s.values())) == 9
 
 
-@pytest.mark.parametrize("chunk", ["1 minute", "3 hours", "30 days"])
-def test_random_cycles_equal_state_machine(spark, chunk):
+@pytest.mark.parametrize("chunk, size", [("1 minute", 10**6), ("3 hours", 10**6), ("30 days", 10**6), ("30 days", 50), ("1 hour", 9)])
+def test_random_cycles_equal_state_machine(spark, chunk, size, monkeypatch):
+    monkeypatch.setattr(carry, "SAMPLES", 3)
     rng = random.Random(5)
     rows = [record(f"r{i:04d}", rng.randrange(600), apply=rng.random() < 0.1, destroy=rng.random() < 0.1,
                    stream=f"s{rng.randrange(3)}") for i in range(800)]
@@ -162,7 +164,7 @@ def test_random_cycles_equal_state_machine(spark, chunk):
         open_id = None if row[9] else open_id
     df = spark.createDataFrame(rows, SCHEMA)
     owner = {r.request_id: r.h for r in df.select("request_id", identity.session_hash(F.col("request_id")).alias("h")).collect()}
-    found = {r.request_id: r.site_session_id for r in assign_sessions(df, chunk).collect()}
+    found = {r.request_id: r.site_session_id for r in assign_sessions(df, chunk, rows=size).collect()}
     assert found == {rid: owner[o] for rid, o in expected.items()}
 
 
