@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logtrail.functions.timeparts import event_time
-from logtrail.operators.carry import CHUNK, RANGE, RANGE_ROWS, WIDTH, Ranges, carry_back, cut
+from logtrail.operators.carry import RANGE_ROWS, WIDTH, Ranges, carry_back, cut
 from logtrail.schemas import BLOCK_COLUMNS
 
 # The marks that delimit an execution, and the id behind a mark.
@@ -88,7 +88,7 @@ def assign_starts(lines: DataFrame, ranges: Ranges | None = None) -> DataFrame:
     ended_carried = F.col("carried.request_id").isin(F.col("first_end.end_id"), F.col("last_end.end_id"))
     ends = F.coalesce(F.when(F.col("start").isNotNull(), ended_own).otherwise(ended_carried), F.lit(False))
     left_open = F.coalesce("start", "carried")
-    running = Window.partitionBy(*STREAM, "open.t", "open.event_id").orderBy(CHUNK, RANGE).rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy(*STREAM, "open.t", "open.event_id").orderBy(*ranges.places).rowsBetween(Window.unboundedPreceding, 0)
     summary = summary.withColumns({"open": left_open, "ends": ends}).withColumn("over", F.max("ends").over(running))
     summary = summary.withColumn("over", F.coalesce(F.lag("over").over(along), F.lit(False)))
 
@@ -98,7 +98,7 @@ def assign_starts(lines: DataFrame, ranges: Ranges | None = None) -> DataFrame:
         joined.where(~F.coalesce(behind, F.lit(False)))
         .withColumn("start", F.coalesce("own", "carried"))
         .where(F.col("start").isNotNull())
-        .drop("own", "carried", "over", "first_end", CHUNK, RANGE)
+        .drop("own", "carried", "over", "first_end", *ranges.places)
     )
 
 

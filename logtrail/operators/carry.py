@@ -61,18 +61,24 @@ class Ranges:
     def order(self) -> list[str]:
         return [self.micros, *self.ties]
 
+    @property
+    def places(self) -> list[str]:
+        """Columns that number the ranges of a key in order. Without borders the chunk
+        alone: a constant beside it would cost a second shuffle."""
+        return [CHUNK] if self.borders is None else [CHUNK, RANGE]
+
     @property
     def grouping(self) -> list[str]:
-        return [*self.keys, CHUNK, RANGE]
+        return [*self.keys, *self.places]
 
     def chunk(self) -> Column:
         return F.floor(F.col(self.micros) / chunk_width(self.width)).alias(CHUNK)
 
     def number(self, df: DataFrame) -> DataFrame:
-        """Add the chunk and the range number of each row."""
+        """Add the chunk of each row and, where chunks are cut, the range number."""
         chunked = df.select("*", self.chunk())
         if self.borders is None:
-            return chunked.withColumn(RANGE, F.lit(0))
+            return chunked
         names = [*self.keys, CHUNK]
         borders = self.borders.select(*[F.col(name).alias(f"_border_{name}") for name in names], "_borders")
         here = F.struct(*self.order)
@@ -91,7 +97,7 @@ class Ranges:
 
     def across(self) -> WindowSpec:
         """Order of the summary rows of a key."""
-        return Window.partitionBy(*self.keys).orderBy(CHUNK, RANGE)
+        return Window.partitionBy(*self.keys).orderBy(*self.places)
 
 
 def cut(
@@ -167,4 +173,4 @@ def running_last(
     joined = carry_back(lines, carried, ranges, [f"_carried_{mark.name}" for mark in marks])
     for mark in marks:
         joined = joined.withColumn(mark.name, F.coalesce(mark.name, f"_carried_{mark.name}"))
-    return joined.drop(CHUNK, RANGE, *[f"_carried_{mark.name}" for mark in marks])
+    return joined.drop(*ranges.places, *[f"_carried_{mark.name}" for mark in marks])
