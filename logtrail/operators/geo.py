@@ -94,8 +94,12 @@ def lookup_networks(ips: DataFrame, city_blocks: DataFrame, asn_blocks: DataFram
 
 def extend_cache(ips: DataFrame, cache: DataFrame, city_blocks: DataFrame, asn_blocks: DataFrame) -> DataFrame:
     """Old cache plus a record for every address not in it; old records are kept as they are."""
-    fresh = lookup_networks(uncached_ips(ips, cache), city_blocks, asn_blocks)
-    return cache.select(*GEO_RECORD_SCHEMA.fieldNames()).unionByName(fresh)
+    return cache.select(*GEO_RECORD_SCHEMA.fieldNames()).unionByName(fresh_records(ips, cache, city_blocks, asn_blocks))
+
+
+def fresh_records(ips: DataFrame, cache: DataFrame, city_blocks: DataFrame, asn_blocks: DataFrame) -> DataFrame:
+    """A record for every address that is not in the cache, also where no network holds it."""
+    return lookup_networks(uncached_ips(ips, cache), city_blocks, asn_blocks)
 
 
 def _has_any(fields: list[Column]) -> Column:

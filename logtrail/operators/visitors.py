@@ -46,11 +46,6 @@ def is_destroy_event() -> Column:
     return is_real_bucket(F.col("bucket_name")) & ends
 
 
-VISITOR_SCHEMA = (
-    "bucket_name string, visitor_id string, event_ts timestamp, log_stream string, start_ts timestamp, request_id string"
-)
-
-
 def latest_visitors(records: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """The latest visitor of each real bucket, of the records and of earlier runs; equal
     times go to the first record.
@@ -62,6 +57,10 @@ def latest_visitors(records: DataFrame, history: DataFrame | None = None) -> Dat
     ).select("bucket_name", "visitor_id", "event_ts", "log_stream", "start_ts", "request_id")
     if history is not None:
         candidates = candidates.unionByName(history.select(*candidates.columns))
+    return last_of_buckets(candidates)
+
+
+def last_of_buckets(candidates: DataFrame) -> DataFrame:
     order = [F.col("event_ts").desc_nulls_last(), F.col("log_stream"), F.col("start_ts"), F.col("request_id")]
     return keep_first(candidates, ["bucket_name"], order)
 
@@ -79,18 +78,14 @@ def propagate_visitors(
     whole batch or in `history` (latest_visitors of earlier runs); without a
     candidate they keep their own.
 
-    `source` may be a written stage with the same rows, so the argmax pass reads
-    only its six columns. Rows that take nothing get keys of their own that match
-    nothing, so they spread over all tasks instead of meeting in one.
+    `records` is read twice: only the events that inherit are joined, the others
+    pass as they are. `source` may be a written stage with the same rows, so the
+    argmax pass reads only its six columns.
     """
     latest = bucket_visitors(source if source is not None else records, history)
-    probe = F.when(is_destroy_event(), F.col("bucket_name")).otherwise(
-        F.concat(F.lit("\u0000"), F.coalesce("request_id", F.lit("")))
-    )
-    joined = records.withColumn("_probe", probe).join(latest, F.col("_probe") == F.col("_bucket"), "left")
-    return joined.withColumn("visitor_id", F.coalesce("_bucket_visitor", "visitor_id")).drop(
-        "_probe", "_bucket", "_bucket_visitor"
-    )
+    ends = records.where(is_destroy_event()).join(latest, F.col("bucket_name") == F.col("_bucket"), "left")
+    inherited = ends.withColumn("visitor_id", F.coalesce("_bucket_visitor", "visitor_id")).select(records.columns)
+    return records.where(~is_destroy_event()).unionByName(inherited)
 
 
 def propagate_visitors_as_of(records: DataFrame, chunk: str = WIDTH, rows: int = RANGE_ROWS) -> DataFrame:

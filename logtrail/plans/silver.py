@@ -7,27 +7,26 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logtrail.operators.blocks import build_blocks
-from logtrail.operators.carry import RANGE_ROWS, WIDTH
+from logtrail.operators.carry import RANGE_ROWS, WIDTH, Mark, cut, running_last
 from logtrail.operators.classify import classify_accesses
 from logtrail.operators.dedup import dedup_accesses, dedup_events
 from logtrail.operators.extract import extract_accesses
-from logtrail.operators.geo import (
-    attach_geo,
-    distinct_ips,
-    extend_cache,
-    geo_dimension,
-    second_source_records,
-)
-from logtrail.operators.sessions import assign_sessions, boundaries
-from logtrail.operators.visitors import VISITOR_SCHEMA, enrich_visitors, latest_visitors, propagate_visitors
+from logtrail.operators.geo import attach_geo, distinct_ips, fresh_records, geo_dimension, second_source_records
+from logtrail.operators.once import join_key
+from logtrail.operators.sessions import TIES, assign_sessions, boundaries, closes, opens, time_key
+from logtrail.operators.visitors import BEFORE_ALL, enrich_visitors, is_destroy_event, last_of_buckets, latest_visitors, propagate_visitors
 from logtrail.functions.timeparts import event_time, parse_utc
-from logtrail.session import write_stage
-from logtrail.sources.bronze import read_bronze
-from logtrail.sources.geo_tables import read_geo_cache, write_geo_cache
-from logtrail.sources.ledger import commit_files, parquet_files, pending_files, read_ledger
+from logtrail.plans.counts import RunCounts
+from logtrail.schemas import GEO_RECORD_SCHEMA
+from logtrail.session import stages_of_run, write_stage
+from logtrail.sources.bronze import BRONZE_PARTITIONS, read_bronze
+from logtrail.sources.geo_tables import append_geo_cache, read_geo_cache
+from logtrail.sources.ledger import commit_files, parquet_files, partitions_of, pending_files, read_ledger
 from logtrail.sources.paths import read_parquet_or_empty
-from logtrail.sources.silver import merge_silver, read_silver, silver_rows
-from logtrail.sources.versions import read_latest, write_version
+from logtrail.sources.registers import (
+    VISITOR_SCHEMA, boundaries_path, destroys_path, read_boundaries, read_destroys, read_runs, visitors_path, write_run,
+)
+from logtrail.sources.silver import day_of, days_of, merge_silver, read_days, silver_days, silver_rows
 
 STAGE = "bronze_to_silver"
 OPEN_SCHEMA = "log_stream string, start_ts timestamp"
@@ -40,9 +39,11 @@ def accesses_of(blocks: DataFrame) -> DataFrame:
     )
 
 
-def access_core(bronze: DataFrame, chunk: str = WIDTH, rows: int = RANGE_ROWS) -> DataFrame:
-    """Bronze rows -> accesses."""
-    return dedup_events(bronze).transform(build_blocks, chunk, rows, bronze).transform(accesses_of)
+def access_core(bronze: DataFrame, chunk: str = WIDTH, rows: int = RANGE_ROWS, counts: RunCounts | None = None) -> DataFrame:
+    """Bronze rows -> accesses. The pass that sizes the ranges also counts the rows read."""
+    streamless = F.count_if(F.col("log_stream").isNull())
+    measured = counts.on(bronze, events=F.count(F.lit(1)), streamless_lines=streamless) if counts else bronze
+    return dedup_events(bronze).transform(build_blocks, chunk, rows, measured).transform(accesses_of)
 
 
 @dataclass(frozen=True)
@@ -55,33 +56,35 @@ class GeoInputs:
 
 @dataclass(frozen=True)
 class SilverResult:
+    """core: the accesses as built; records: the Silver rows; fresh: addresses looked up; latest: last visitor of each bucket."""
+
     core: DataFrame
     records: DataFrame
-    geo: DataFrame
-    visitors: DataFrame
+    fresh: DataFrame
+    latest: DataFrame
 
     @property
     def rows(self) -> DataFrame:
         return silver_rows(self.records)
 
 
+@dataclass(frozen=True)
+class History:
+    """What earlier runs left: boundary rows of cycles, and the latest visitor of each bucket."""
+
+    boundaries: DataFrame | None = None
+    visitors: DataFrame | None = None
+
+
 def build_silver(
-    bronze: DataFrame,
-    geo_inputs: GeoInputs,
-    chunk: str = WIDTH,
-    history: DataFrame | None = None,
-    visitor_history: DataFrame | None = None,
+    bronze: DataFrame, geo_inputs: GeoInputs, chunk: str = WIDTH, history: History = History(), counts: RunCounts | None = None
 ) -> SilverResult:
     """The Silver records of one batch of Bronze rows."""
-    return finish_silver(access_core(bronze, chunk), geo_inputs, chunk, history, visitor_history)
+    return finish_silver(access_core(bronze, chunk, counts=counts), geo_inputs, chunk, history, counts)
 
 
 def finish_silver(
-    accesses: DataFrame,
-    geo_inputs: GeoInputs,
-    chunk: str = WIDTH,
-    history: DataFrame | None = None,
-    visitor_history: DataFrame | None = None,
+    accesses: DataFrame, geo_inputs: GeoInputs, chunk: str = WIDTH, history: History = History(), counts: RunCounts | None = None
 ) -> SilverResult:
     """Sessions, inherited visitors, deduplication, geolocation.
 
@@ -90,24 +93,131 @@ def finish_silver(
     own columns of it. Deduplication runs before the geo join; geo columns depend
     on the address alone, so the result is the same with fewer rows joined.
     """
-    core = write_stage(accesses, "access-core")
-    sessions = assign_sessions(core, chunk, source=core, history=history)
-    unique = dedup_accesses(propagate_visitors(sessions, source=core, history=visitor_history))
-    ips = write_stage(distinct_ips(core), "ips")
-    geo = write_stage(extend_cache(ips, geo_inputs.cache, geo_inputs.city_blocks, geo_inputs.asn_blocks), "geo")
-    records = attach_geo(unique, geo_dimension(ips, geo, geo_inputs.second))
-    return SilverResult(core, records, geo, latest_visitors(core, visitor_history))
+    counts = counts or RunCounts()
+    one = F.count(F.lit(1))
+    core = write_stage(counts.on(accesses, executions=one, closed=F.count_if("block_closed")), "access-core")
+    with_visitors = propagate_visitors(core, source=core, history=history.visitors)
+    sessions = assign_sessions(with_visitors, chunk, source=core, history=history.boundaries)
+    unique = dedup_accesses(sessions)
+    ips = write_stage(counts.on(distinct_ips(core), addresses=one), "ips")
+    looked_up = fresh_records(ips, geo_inputs.cache, geo_inputs.city_blocks, geo_inputs.asn_blocks)
+    fresh = write_stage(counts.on(looked_up, new_addresses=one), "geo-fresh")
+    names = GEO_RECORD_SCHEMA.fieldNames()
+    known = geo_inputs.cache.select(*names).unionByName(fresh.select(*names))
+    records = attach_geo(unique, geo_dimension(ips, known, geo_inputs.second))
+    return SilverResult(core, records, fresh, latest_visitors(core, history.visitors))
+
+
+# --- what a run changes in rows stored before --------------------------------
+
+
+def read_visitors(spark: SparkSession, silver_base: str, before: str | None = None) -> DataFrame:
+    """Latest visitor of each bucket as of the runs before."""
+    return last_of_buckets(read_runs(spark, visitors_path(silver_base), VISITOR_SCHEMA, before))
+
+
+def changed_visitors(latest: DataFrame, before: DataFrame) -> DataFrame:
+    """Rows of `latest` whose bucket had another visitor before, or none."""
+    old = before.select(F.col("bucket_name").alias("_bucket"), F.col("visitor_id").alias("_before"))
+    joined = latest.join(old, F.col("bucket_name") == F.col("_bucket"), "left")
+    return joined.where(F.col("_before").isNull() | (F.col("_before") != F.col("visitor_id"))).drop("_bucket", "_before")
+
+
+def days_with_new_rule(spark: SparkSession, days: set[str], stored: DataFrame, added: DataFrame) -> set[str]:
+    """Stored days in which the last boundary before some row may be one of `added`.
+
+    These are the days that hold an added boundary, and those before whose first
+    moment the last boundary is an added one: the interval that it rules, up to
+    the next boundary. Boundaries and one marker a day are ordered, no record is.
+    """
+    if not days:
+        return set()
+    schema = added.select(*BOUNDARY_KEY, time_key().alias("_t")).schema
+    markers = spark.createDataFrame([(day,) for day in sorted(days)], "day string").withColumn(
+        "_t", F.coalesce(F.unix_micros(F.try_to_timestamp("day")), F.lit(BEFORE_ALL))
+    )
+    known = stored.join(added.select("request_id"), "request_id", "left_anti")
+    rows = known.select(*BOUNDARY_KEY, time_key().alias("_t"), F.lit(False).alias("added")).unionByName(
+        added.select(*BOUNDARY_KEY, time_key().alias("_t"), F.lit(True).alias("added"))
+    )
+    marked = rows.withColumn("day", F.lit(None).cast("string")).unionByName(markers, allowMissingColumns=True).select(
+        *schema.fieldNames(), "added", "day"
+    )
+    marked = write_stage(marked, "boundaries-and-days")
+    last = Mark("_last", F.col("day").isNull(), [F.col("added").alias("added")], include_current=False)
+    ruled = running_last(marked, cut(marked, [], "_t", TIES), [last]).where("day IS NOT NULL AND _last.added").select("day")
+    return days_of(ruled, F.col("day")) | (days_of(added, day_of(F.col("event_ts"))) & days)
+
 
+BOUNDARY_KEY = ["request_id", "log_stream", "start_ts"]
 
-def read_visitors(spark: SparkSession, base: str) -> DataFrame:
-    """Latest visitor of each bucket as of the last committed run."""
-    return read_latest(spark, base, spark.createDataFrame([], VISITOR_SCHEMA).schema)
 
+def sessions_again(stored: DataFrame, days: set[str], boundary_rows: DataFrame, chunk: str = WIDTH) -> DataFrame:
+    """request_id, _session of the stored rows of `days` under all boundaries.
 
-def session_history(silver: DataFrame) -> DataFrame:
-    """Rows of the Silver table that open or close a cycle; the flags are pushed to its scan."""
-    timed = silver.withColumn("event_ts", parse_utc(F.col("timestamp_utc")))
-    return boundaries(timed.withColumn("start_ts", F.col("event_ts")))
+    Boundaries come from their register alone, each once, with the start times that
+    Silver does not hold; other rows of one stream at one moment go by request id.
+    """
+    timed = stored.withColumn("event_ts", parse_utc(F.col("timestamp_utc")))
+    rows = timed.where(~(opens() | closes())).withColumn("start_ts", F.col("event_ts")).select(*boundary_rows.columns)
+    inside = day_of(F.col("event_ts")).isin(sorted(days))
+    records = rows.unionByName(boundary_rows.where(inside))
+    found = assign_sessions(records, chunk, history=boundary_rows.where(~inside))
+    return found.select(join_key("request_id").alias("_request"), F.col("site_session_id").alias("_session"))
+
+
+def store_run(
+    spark: SparkSession, result: SilverResult, silver_base: str, run_id: str, history: History, chunk: str = WIDTH,
+    counts: RunCounts | None = None, replace: bool = False,
+) -> DataFrame:
+    """Merge the records of a run and mend what it changes in rows stored before.
+
+    A bucket whose latest visitor changed gives it to its stored destroys, and a
+    boundary that comes late gives the rows it rules their session again. Only the
+    days of these rows are read and rewritten, found in registers that are far
+    narrower and shorter than Silver. The registers are written first: they may
+    hold more than Silver, never less, if a run breaks off and is repeated. With
+    `replace` the records go before stored ones even where they are less complete.
+    """
+    counts = counts or RunCounts()
+    own = write_stage(boundaries(result.core), "own-boundaries")
+    write_run(own, boundaries_path(silver_base), run_id)
+    changed = write_stage(changed_visitors(result.latest, history.visitors), "changed-visitors")
+    write_run(changed, visitors_path(silver_base), run_id)
+    ends = result.core.where(is_destroy_event())
+    write_run(ends.select("bucket_name", "request_id", day_of(F.col("event_ts")).alias("day")), destroys_path(silver_base), run_id)
+
+    there = silver_days(spark, silver_base)
+    hanging = read_destroys(spark, silver_base).join(changed, "bucket_name", "left_semi")
+    visitor_days = (days_of(hanging, F.col("day")) & there) if there else set()
+    session_days = days_with_new_rule(spark, there, history.boundaries, own)
+    sessions = None
+    if session_days:
+        every = read_boundaries(spark, silver_base)
+        sessions = write_stage(sessions_again(read_days(spark, silver_base, session_days), session_days, every, chunk), "sessions-again")
+
+    def amend(merged: DataFrame) -> DataFrame:
+        old = F.col("_new") == 0
+        if visitor_days:
+            heirs = changed.select(join_key("bucket_name").alias("_bucket"), F.col("visitor_id").alias("_heir"))
+            merged = merged.withColumn("_ends", F.when(old & is_destroy_event(), F.col("bucket_name"))).join(
+                heirs, F.col("_ends") == F.col("_bucket"), "left"
+            )
+            merged = merged.withColumn("visitor_id", F.coalesce("_heir", "visitor_id")).drop("_ends", "_bucket", "_heir")
+        if sessions is not None:
+            merged = merged.join(sessions, F.col("request_id") == F.col("_request"), "left").withColumn(
+                "site_session_id", F.when(old, F.coalesce("_session", "site_session_id")).otherwise(F.col("site_session_id"))
+            ).drop("_request", "_session")
+        return merged
+
+    def observe(merged: DataFrame) -> DataFrame:
+        new = F.col("_new") == 1
+        return counts.on(merged, records=F.count_if(new), divergent=F.count_if(new & F.col("geo_sources_divergent")))
+
+    return merge_silver(result.records, silver_base, amend, visitor_days | session_days, observe, replace)
+
+
+# --- incremental runs -----------------------------------------------------------
 
 
 def open_executions(core: DataFrame, stale_before: str | None = None) -> DataFrame:
@@ -156,35 +266,50 @@ def run_silver(
 
     An execution still open at the end of the last run is read again together
     with the new lines, so runs of any cut give the rows of one run. Files are
-    committed last, also when they held no execution.
+    committed last, also when they held no execution. Returns the counts of the
+    run: files, events, streamless lines, executions, addresses, records. They are
+    observed while the tables are written.
+    """
+    with stages_of_run(spark):
+        ledger_path, open_base = f"{control_base}/files", f"{control_base}/open"
+        counts = RunCounts()
+        waiting_files = pending_files(parquet_files(spark, bronze_base), read_ledger(spark, ledger_path), STAGE)
+        pending = write_stage(counts.on(waiting_files, files=F.count(F.lit(1))), "pending-files")
+        if not counts.values()["files"]:
+            return {"files": 0, "records": 0, "divergent": 0}
+        bronze = pending_bronze(read_bronze(spark, bronze_base), pending)
+        last_open = _latest_open(spark, open_base, ledger_path)
+        if last_open is not None:
+            bronze = bronze.unionByName(_reread(read_bronze(spark, bronze_base), last_open))
+        geo_path = f"{control_base}/geo_cache"
+        inputs = GeoInputs(city_blocks, asn_blocks, read_geo_cache(spark, geo_path, run_id), second_source_records(second_responses))
+        history = read_history(spark, silver_base, run_id)
+        result = build_silver(bronze, inputs, chunk, history, counts)
+        append_geo_cache(result.fresh, geo_path, run_id)
+        store_run(spark, result, silver_base, run_id, history, chunk, counts)
+        waiting = open_executions(result.core)
+        if stale_before is not None:
+            waiting.where(_stale(stale_before)).write.mode("overwrite").parquet(f"{control_base}/stale/run={run_id}")
+            waiting = open_executions(result.core, stale_before)
+        waiting.write.mode("overwrite").parquet(f"{open_base}/run={run_id}")
+        commit_files(pending, ledger_path, STAGE, run_id, updated_at_utc)
+        found = counts.values()
+        return {**found, "cached_addresses": found["addresses"] - found["new_addresses"]}
+
+
+def read_history(spark: SparkSession, silver_base: str, run_id: str | None = None) -> History:
+    """Of all runs but `run_id`, which may be a repeated one."""
+    return History(read_boundaries(spark, silver_base, run_id), read_visitors(spark, silver_base, run_id))
+
+
+def pending_bronze(bronze: DataFrame, files: DataFrame) -> DataFrame:
+    """Bronze rows of the partitions that the files lie in.
+
+    The partitions are joined by their columns, so the scan is pruned when it runs
+    and no path passes through the driver. A partition of which some files were
+    processed before is read as a whole; the merge settles repeated rows.
     """
-    ledger_path, open_base = f"{control_base}/files", f"{control_base}/open"
-    pending = pending_files(parquet_files(spark, bronze_base), read_ledger(spark, ledger_path), STAGE)
-    pending = write_stage(pending, "pending-files")
-    # File names of one increment; Spark keeps the same list to plan the scan.
-    paths = [row.path for row in pending.collect()]
-    if not paths:
-        return {"files": 0, "records": 0, "divergent": 0}
-    bronze = read_bronze(spark, bronze_base, paths)
-    last_open = _latest_open(spark, open_base, ledger_path)
-    if last_open is not None:
-        bronze = bronze.unionByName(_reread(read_bronze(spark, bronze_base), last_open))
-    history = session_history(read_silver(spark, silver_base))
-    cache = read_geo_cache(spark, f"{control_base}/geo_cache")
-    second = second_source_records(second_responses)
-    seen = read_visitors(spark, f"{control_base}/visitors")
-    result = build_silver(bronze, GeoInputs(city_blocks, asn_blocks, cache, second), chunk, history, seen)
-    write_geo_cache(result.geo, f"{control_base}/geo_cache", run_id)
-    merged = merge_silver(result.records, silver_base)
-    write_version(write_stage(result.visitors, "visitors"), f"{control_base}/visitors", run_id)
-    waiting = open_executions(result.core)
-    if stale_before is not None:
-        waiting.where(_stale(stale_before)).write.mode("overwrite").parquet(f"{control_base}/stale/run={run_id}")
-        waiting = open_executions(result.core, stale_before)
-    waiting.write.mode("overwrite").parquet(f"{open_base}/run={run_id}")
-    commit_files(pending, ledger_path, STAGE, run_id, updated_at_utc)
-    counts = merged.agg(F.count(F.lit(1)), F.count_if("geo_sources_divergent")).first()
-    return {"files": len(paths), "records": counts[0], "divergent": counts[1]}
+    return bronze.join(partitions_of(files), BRONZE_PARTITIONS, "left_semi")
 
 
 def _latest_open(spark: SparkSession, open_base: str, ledger_path: str) -> DataFrame | None:

@@ -16,6 +16,8 @@ RESULT_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A repeated JSON key keeps its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Keyed state functions of the streaming jobs need this store.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # Settings for speed only. Small sides are broadcast by Spark's own size check

@@ -10,6 +10,7 @@ from logtrail.sources.paths import read_parquet_or_empty
 
 # Partition values are text: a month is '06', not 6.
 _PATH_FIELDS = [T.StructField(name, T.StringType()) for name in DATE_PARTITIONS]
+BRONZE_PARTITIONS = [*DATE_PARTITIONS, "collection_id"]
 BRONZE_TABLE_SCHEMA = T.StructType(BRONZE_SCHEMA.fields + _PATH_FIELDS)
 
 
@@ -32,7 +33,7 @@ def write_bronze(bronze: DataFrame, base: str, reject_base: str | None = None) -
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy(*DATE_PARTITIONS, "collection_id")
+        .partitionBy(*BRONZE_PARTITIONS)
         .parquet(base)
     )
     if reject_base is not None:

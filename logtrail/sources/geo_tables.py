@@ -1,11 +1,11 @@
-"""Geo tables: network blocks, and the cache of looked-up addresses in versioned folders."""
+"""Geo tables: network blocks, and the cache of looked-up addresses, one folder per run."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from logtrail.schemas import GEO_RECORD_SCHEMA
-from logtrail.sources.versions import read_latest, write_version
+from logtrail.sources.registers import read_runs, write_run
 
 CITY_BLOCK_SCHEMA = T.StructType(
     [
@@ -28,9 +28,11 @@ def read_network_blocks(spark: SparkSession, path: str, schema: T.StructType, fi
     return reader.csv(path, header=True) if file_format == "csv" else reader.parquet(path)
 
 
-def read_geo_cache(spark: SparkSession, base: str) -> DataFrame:
-    return read_latest(spark, base, GEO_RECORD_SCHEMA)
+def read_geo_cache(spark: SparkSession, base: str, before: str | None = None) -> DataFrame:
+    """Records of all runs, or of all but `before`, which may be a repeated one."""
+    return read_runs(spark, base, GEO_RECORD_SCHEMA, before)
 
 
-def write_geo_cache(cache: DataFrame, base: str, version: str) -> None:
-    write_version(cache.select(*GEO_RECORD_SCHEMA.fieldNames()), base, version)
+def append_geo_cache(fresh: DataFrame, base: str, run_id: str) -> None:
+    """Add the addresses of a run; those of earlier runs stay where they are."""
+    write_run(fresh.select(*GEO_RECORD_SCHEMA.fieldNames()), base, run_id)

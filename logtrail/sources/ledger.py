@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from logtrail.sources.bronze import BRONZE_PARTITIONS
 from logtrail.sources.paths import path_exists, read_parquet_or_empty
 
 LEDGER_SCHEMA = T.StructType(
@@ -52,6 +53,12 @@ def pending_files(files: DataFrame, ledger: DataFrame, stage: str) -> DataFrame:
     return files.join(ledger.where(F.col("stage") == stage).select("path"), "path", "left_anti")
 
 
+def partitions_of(files: DataFrame) -> DataFrame:
+    """The Bronze partitions of the files, from the folder names in their paths."""
+    values = [F.regexp_extract("path", f"/{name}=([^/]+)/", 1).alias(name) for name in BRONZE_PARTITIONS]
+    return files.select(*values).distinct()
+
+
 def files_after(files: DataFrame, last_path: str | None) -> DataFrame:
     """The path rule: only files whose path sorts after the last one; all when there is none."""
     return files if not last_path else files.where(F.col("path") > last_path)

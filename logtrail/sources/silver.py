@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from logtrail.functions.timeparts import date_parts, parse_utc
@@ -9,6 +11,7 @@ from logtrail.operators.dedup import keep_first
 from logtrail.schemas import DATE_PARTITIONS, OBSOLETE_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA, conform
 from logtrail.session import write_stage
 from logtrail.sources.paths import delete_path, path_exists
+from logtrail.sources.registers import add_ids, stored_ids
 
 SILVER_TABLE_SCHEMA = T.StructType(
     SILVER_SCHEMA.fields + [T.StructField(name, T.StringType()) for name in DATE_PARTITIONS]
@@ -31,31 +34,75 @@ def _day_key() -> Column:
     return F.concat_ws("-", *DATE_PARTITIONS)
 
 
-def _days(rows: DataFrame) -> set[str]:
+def day_of(moment: Column) -> Column:
+    return F.coalesce(F.date_format(moment, "yyyy-MM-dd"), F.lit(""))
+
+
+def days_of(rows: DataFrame, day: Column | None = None) -> set[str]:
     """Partitions of the rows: one short text per day of data."""
-    return {row[0] for row in rows.select(_day_key()).distinct().collect()}
+    return {row[0] for row in rows.select(_day_key() if day is None else day).distinct().collect()}
 
 
-def merge_silver(records: DataFrame, base: str) -> DataFrame:
+def silver_days(spark: SparkSession, base: str) -> set[str]:
+    """The days that Silver has partitions for, from the names of its folders."""
+    if not path_exists(spark, base):
+        return set()
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/year=*/month=*/day=*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [status.getPath().toString() for status in files.globStatus(pattern)]
+    parts = [[part.split("=", 1)[1] for part in path.split("/")[-3:]] for path in found]
+    return {"" if "__HIVE_DEFAULT_PARTITION__" in names else "-".join(names) for names in parts}
+
+
+def read_days(spark: SparkSession, base: str, days: set[str]) -> DataFrame:
+    """The rows of some days; the other partitions are not listed in the scan."""
+    return read_silver(spark, base).where(_day_key().isin(sorted(days)))
+
+
+def _known_ids(spark: SparkSession, base: str) -> DataFrame:
+    """The id register; filled from Silver once where Silver is older than the register."""
+    known = stored_ids(spark, base)
+    if path_exists(spark, base) and not known.limit(1).count():
+        add_ids(read_silver(spark, base).select("request_id", _day_key().alias("day")), base)
+        known = stored_ids(spark, base)
+    return known
+
+
+def merge_silver(
+    records: DataFrame,
+    base: str,
+    amend: Callable[[DataFrame], DataFrame] | None = None,
+    amended_days: set[str] | None = None,
+    observe: Callable[[DataFrame], DataFrame] | None = None,
+    replace: bool = False,
+) -> DataFrame:
     """Merge new rows by request_id; returns the new rows that are now stored.
 
-    Stored copies are found by request_id wherever they lie, also under another
-    day or without one; only the partitions of these copies and of the new rows
-    are read and rewritten. A complete execution goes before a cut one, then the
-    new row, then the later. Without a table format this is read, merge, stage,
+    The days of stored copies come from the register of ids, wherever they lie,
+    also without a date; only these days and those of the new rows are read and
+    rewritten. A complete execution goes before a cut one, then the new row, then
+    the later (`replace`: the new row in any case). `amend` rewrites columns of stored rows (marked `_new = 0`) in
+    `amended_days` besides. Without a table format this is read, merge, stage,
     overwrite: the merged partitions are written to the shared folder first, and
     only then replace their files, so no plan reads the files it overwrites.
     """
     spark = records.sparkSession
     moment = parse_utc(F.col("timestamp_utc"))
     new = write_stage(silver_rows(records).select("*", *date_parts(moment)), "silver-new")
-    stored = read_silver(spark, base)
-    copies = stored.select("request_id", *DATE_PARTITIONS).join(new.select("request_id").distinct(), "request_id", "left_semi")
-    left, entered = _days(copies), _days(new)
-    old = stored.where(_day_key().isin(sorted(left | entered)))
+    copies = _known_ids(spark, base).join(new.select("request_id").distinct(), "request_id", "left_semi")
+    there = silver_days(spark, base)
+    left = (days_of(copies, F.col("day")) | (amended_days or set())) & there
+    entered = days_of(new)
+    old = read_days(spark, base, (left | entered) & there)
     both = new.withColumn("_new", F.lit(1)).unionByName(old.select(*new.columns).withColumn("_new", F.lit(0)))
     order = [F.col("block_closed").desc(), F.col("_new").desc(), moment.desc_nulls_last()]
-    staged = write_stage(keep_first(both, ["request_id"], order), "silver-merge")
+    if replace:
+        order.insert(0, F.col("_new").desc())
+    merged = keep_first(both, ["request_id"], order)
+    merged = amend(merged) if amend is not None else merged
+    staged = write_stage(observe(merged) if observe is not None else merged, "silver-merge")
+    kept = staged.where("_new = 1").drop("_new")
+    add_ids(kept.select("request_id", _day_key().alias("day")), base)
     (
         staged.drop("_new")
         .hint("rebalance", *DATE_PARTITIONS)
@@ -65,9 +112,9 @@ def merge_silver(records: DataFrame, base: str) -> DataFrame:
         .partitionBy(*DATE_PARTITIONS)
         .parquet(base)
     )
-    for day in sorted(left - _days(staged)):  # every row of it has moved
+    for day in sorted(left - days_of(staged)):  # every row of it has moved
         delete_path(spark, f"{base}/{_partition_path(day)}")
-    return staged.where("_new = 1").drop("_new")
+    return kept
 
 
 def _partition_path(day: str) -> str:

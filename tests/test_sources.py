@@ -14,7 +14,7 @@ from logtrail.schemas import BRONZE_COLUMNS, SILVER_COLUMNS, conform
 from logtrail.sources import ledger
 from logtrail.sources.bronze import read_bronze, write_bronze
 from logtrail.sources.geo_tables import (
-    ASN_BLOCK_SCHEMA, CITY_BLOCK_SCHEMA, read_geo_cache, read_network_blocks, write_geo_cache,
+    ASN_BLOCK_SCHEMA, CITY_BLOCK_SCHEMA, read_geo_cache, read_network_blocks, append_geo_cache,
 )
 from logtrail.sources.raw_events import bronze_rows, resolve_collection, utc
 from logtrail.sources.silver import read_silver
@@ -120,9 +120,11 @@ def test_geo_tables(spark, tmp_path):
     assert read_geo_cache(spark, f"{tmp_path}/cache").count() == 0
     cache = read_geo_cache(spark, f"{tmp_path}/cache").unionByName(
         spark.createDataFrame([("1.1.1.1",)], "ip string"), allowMissingColumns=True)
-    write_geo_cache(cache, f"{tmp_path}/cache", "2024-01")
-    write_geo_cache(read_geo_cache(spark, f"{tmp_path}/cache").union(cache), f"{tmp_path}/cache", "2024-02")
-    assert read_geo_cache(spark, f"{tmp_path}/cache").count() == 2
+    append_geo_cache(cache, f"{tmp_path}/cache", "2024-01")
+    append_geo_cache(cache.withColumn("ip", F.lit("2.2.2.2")), f"{tmp_path}/cache", "2024-02")
+    append_geo_cache(cache.withColumn("ip", F.lit("2.2.2.2")), f"{tmp_path}/cache", "2024-02")
+    assert sorted(r.ip for r in read_geo_cache(spark, f"{tmp_path}/cache").collect()) == ["1.1.1.1", "2.2.2.2"]
+    assert read_geo_cache(spark, f"{tmp_path}/cache", "2024-02").count() == 1
     (tmp_path / "asn.csv").write_text("network,asn_number,asn_name\n10.0.0.0/8,7,Ten\n")
     assert read_network_blocks(spark, f"{tmp_path}/asn.csv", ASN_BLOCK_SCHEMA, "csv").first().asn_number == 7
 
