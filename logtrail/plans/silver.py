@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from logtrail.operators.blocks import build_blocks
 from logtrail.operators.carry import RANGE_ROWS, WIDTH, Mark, cut, running_last
 from logtrail.operators.classify import classify_accesses
-from logtrail.operators.dedup import dedup_accesses, dedup_events
+from logtrail.operators.dedup import dedup_accesses, dedup_events, keep_first
 from logtrail.operators.extract import extract_accesses
 from logtrail.operators.geo import attach_geo, distinct_ips, fresh_records, geo_dimension, second_source_records
 from logtrail.operators.once import join_key
@@ -22,9 +22,10 @@ from logtrail.session import stages_of_run, write_stage
 from logtrail.sources.bronze import BRONZE_PARTITIONS, read_bronze
 from logtrail.sources.geo_tables import append_geo_cache, read_geo_cache
 from logtrail.sources.ledger import commit_files, parquet_files, partitions_of, pending_files, read_ledger
-from logtrail.sources.paths import read_parquet_or_empty
+from logtrail.sources.paths import path_exists, read_parquet_or_empty
 from logtrail.sources.registers import (
-    VISITOR_SCHEMA, boundaries_path, destroys_path, read_boundaries, read_destroys, read_runs, visitors_path, write_run,
+    VISITOR_SCHEMA, boundaries_path, destroys_path, read_boundaries, read_destroys, read_runs, told_path, visitors_path,
+    write_run,
 )
 from logtrail.sources.silver import day_of, days_of, merge_silver, read_days, silver_days, silver_rows
 
@@ -97,7 +98,8 @@ def finish_silver(
     one = F.count(F.lit(1))
     core = write_stage(counts.on(accesses, executions=one, closed=F.count_if("block_closed")), "access-core")
     with_visitors = propagate_visitors(core, source=core, history=history.visitors)
-    sessions = assign_sessions(with_visitors, chunk, source=core, history=history.boundaries)
+    others = None if history.boundaries is None else without(history.boundaries, core)
+    sessions = assign_sessions(with_visitors, chunk, source=core, history=others)
     unique = dedup_accesses(sessions)
     ips = write_stage(counts.on(distinct_ips(core), addresses=one), "ips")
     looked_up = fresh_records(ips, geo_inputs.cache, geo_inputs.city_blocks, geo_inputs.asn_blocks)
@@ -108,6 +110,16 @@ def finish_silver(
     return SilverResult(core, records, fresh, latest_visitors(core, history.visitors))
 
 
+EXECUTION = ["request_id", "log_stream", "start_ts"]
+
+
+def without(known: DataFrame, again: DataFrame) -> DataFrame:
+    """Rows of `known` whose execution is not among the boundaries of `again`, so that each stands once."""
+    keys = boundaries(again).select(*[F.col(name).alias(f"_{name}") for name in EXECUTION])
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in EXECUTION]
+    return known.join(keys, same, "left_anti")
+
+
 # --- what a run changes in rows stored before --------------------------------
 
 
@@ -116,6 +128,15 @@ def read_visitors(spark: SparkSession, silver_base: str, before: str | None = No
     return last_of_buckets(read_runs(spark, visitors_path(silver_base), VISITOR_SCHEMA, before))
 
 
+def last_of_runs(spark: SparkSession, silver_base: str, before: str | None = None) -> DataFrame:
+    """bucket_name, visitor_id that the latest run told the destroys of the bucket."""
+    if not path_exists(spark, told_path(silver_base)):
+        return spark.createDataFrame([], VISITOR_SCHEMA)
+    runs = spark.read.schema(T.StructType([*VISITOR_SCHEMA.fields, T.StructField("run", T.StringType())])).parquet(told_path(silver_base))
+    runs = runs if before is None else runs.where(F.col("run") != before)
+    return keep_first(runs, ["bucket_name"], [F.col("run").desc()]).select(*VISITOR_SCHEMA.fieldNames())
+
+
 def changed_visitors(latest: DataFrame, before: DataFrame) -> DataFrame:
     """Rows of `latest` whose bucket had another visitor before, or none."""
     old = before.select(F.col("bucket_name").alias("_bucket"), F.col("visitor_id").alias("_before"))
@@ -132,28 +153,21 @@ def days_with_new_rule(spark: SparkSession, days: set[str], stored: DataFrame, a
     """
     if not days:
         return set()
-    schema = added.select(*BOUNDARY_KEY, time_key().alias("_t")).schema
+    names = [*EXECUTION, "_t", "added", "day"]
     markers = spark.createDataFrame([(day,) for day in sorted(days)], "day string").withColumn(
         "_t", F.coalesce(F.unix_micros(F.try_to_timestamp("day")), F.lit(BEFORE_ALL))
     )
-    known = stored.join(added.select("request_id"), "request_id", "left_anti")
-    rows = known.select(*BOUNDARY_KEY, time_key().alias("_t"), F.lit(False).alias("added")).unionByName(
-        added.select(*BOUNDARY_KEY, time_key().alias("_t"), F.lit(True).alias("added"))
-    )
-    marked = rows.withColumn("day", F.lit(None).cast("string")).unionByName(markers, allowMissingColumns=True).select(
-        *schema.fieldNames(), "added", "day"
-    )
+    known, new = (df.select(*EXECUTION, time_key().alias("_t"), F.lit(flag).alias("added")) for df, flag in ((without(stored, added), False), (added, True)))
+    rows = known.unionByName(new).withColumn("day", F.lit(None).cast("string"))
+    marked = rows.unionByName(markers, allowMissingColumns=True).select(*names)
     marked = write_stage(marked, "boundaries-and-days")
     last = Mark("_last", F.col("day").isNull(), [F.col("added").alias("added")], include_current=False)
     ruled = running_last(marked, cut(marked, [], "_t", TIES), [last]).where("day IS NOT NULL AND _last.added").select("day")
     return days_of(ruled, F.col("day")) | (days_of(added, day_of(F.col("event_ts"))) & days)
 
 
-BOUNDARY_KEY = ["request_id", "log_stream", "start_ts"]
-
-
 def sessions_again(stored: DataFrame, days: set[str], boundary_rows: DataFrame, chunk: str = WIDTH) -> DataFrame:
-    """request_id, _session of the stored rows of `days` under all boundaries.
+    """_request, _stream, _session of the stored rows of `days` under all boundaries.
 
     Boundaries come from their register alone, each once, with the start times that
     Silver does not hold; other rows of one stream at one moment go by request id.
@@ -163,12 +177,14 @@ def sessions_again(stored: DataFrame, days: set[str], boundary_rows: DataFrame,
     inside = day_of(F.col("event_ts")).isin(sorted(days))
     records = rows.unionByName(boundary_rows.where(inside))
     found = assign_sessions(records, chunk, history=boundary_rows.where(~inside))
-    return found.select(join_key("request_id").alias("_request"), F.col("site_session_id").alias("_session"))
+    # Of several executions of one request in one stream, Silver holds the last.
+    latest = F.max_by("site_session_id", F.struct("start_ts", "event_ts"))
+    return found.groupBy(F.col("request_id").alias("_request"), F.col("log_stream").alias("_stream")).agg(latest.alias("_session"))
 
 
 def store_run(
     spark: SparkSession, result: SilverResult, silver_base: str, run_id: str, history: History, chunk: str = WIDTH,
-    counts: RunCounts | None = None, replace: bool = False,
+    counts: RunCounts | None = None, replace: bool = False, waiting: DataFrame | None = None,
 ) -> DataFrame:
     """Merge the records of a run and mend what it changes in rows stored before.
 
@@ -177,13 +193,20 @@ def store_run(
     days of these rows are read and rewritten, found in registers that are far
     narrower and shorter than Silver. The registers are written first: they may
     hold more than Silver, never less, if a run breaks off and is repeated. With
-    `replace` the records go before stored ones even where they are less complete.
+    `replace` the records take the place of stored ones even where they are less complete.
+    Executions that wait for lines of a later run (`waiting`) are read again with
+    it, so their visitors count now but are not registered.
     """
     counts = counts or RunCounts()
     own = write_stage(boundaries(result.core), "own-boundaries")
     write_run(own, boundaries_path(silver_base), run_id)
-    changed = write_stage(changed_visitors(result.latest, history.visitors), "changed-visitors")
-    write_run(changed, visitors_path(silver_base), run_id)
+    settled = result.core
+    if waiting is not None:
+        settled = settled.join(waiting.select("log_stream", "start_ts"), ["log_stream", "start_ts"], "left_anti")
+    write_run(changed_visitors(latest_visitors(settled, history.visitors), history.visitors), visitors_path(silver_base), run_id)
+    told = last_of_runs(spark, silver_base, run_id)
+    changed = write_stage(changed_visitors(result.latest, told), "changed-visitors")
+    write_run(changed.select(*VISITOR_SCHEMA.fieldNames()), told_path(silver_base), run_id)
     ends = result.core.where(is_destroy_event())
     write_run(ends.select("bucket_name", "request_id", day_of(F.col("event_ts")).alias("day")), destroys_path(silver_base), run_id)
 
@@ -205,9 +228,10 @@ def store_run(
             )
             merged = merged.withColumn("visitor_id", F.coalesce("_heir", "visitor_id")).drop("_ends", "_bucket", "_heir")
         if sessions is not None:
-            merged = merged.join(sessions, F.col("request_id") == F.col("_request"), "left").withColumn(
+            same = (F.col("request_id") == F.col("_request")) & (F.col("log_stream") == F.col("_stream"))
+            merged = merged.join(sessions, same, "left").withColumn(
                 "site_session_id", F.when(old, F.coalesce("_session", "site_session_id")).otherwise(F.col("site_session_id"))
-            ).drop("_request", "_session")
+            ).drop("_request", "_stream", "_session")
         return merged
 
     def observe(merged: DataFrame) -> DataFrame:
@@ -220,18 +244,17 @@ def store_run(
 # --- incremental runs -----------------------------------------------------------
 
 
-def open_executions(core: DataFrame, stale_before: str | None = None) -> DataFrame:
+def open_executions(core: DataFrame) -> DataFrame:
     """Streams whose last execution has not ended yet, with its start.
 
     Each is waited for until it ends, however old it is: the rows of a run may lie
-    at any dates. `stale_before` (a time, chosen by the operator of the job) gives
-    up those that started earlier; run_silver writes them to its reject table.
+    at any dates. `stale_before` of run_silver gives up those that started earlier
+    and lists them in a reject table.
     """
     last = core.groupBy("log_stream").agg(
         F.max(F.struct("start_ts", "request_id", "block_closed")).alias("last")
     )
-    waiting = last.where(~F.col("last.block_closed")).select("log_stream", F.col("last.start_ts").alias("start_ts"))
-    return waiting if stale_before is None else waiting.where(~_stale(stale_before))
+    return last.where(~F.col("last.block_closed")).select("log_stream", F.col("last.start_ts").alias("start_ts"))
 
 
 def _stale(before: str) -> Column:
@@ -286,11 +309,11 @@ def run_silver(
         history = read_history(spark, silver_base, run_id)
         result = build_silver(bronze, inputs, chunk, history, counts)
         append_geo_cache(result.fresh, geo_path, run_id)
-        store_run(spark, result, silver_base, run_id, history, chunk, counts)
-        waiting = open_executions(result.core)
+        waiting = write_stage(open_executions(result.core), "open-executions")
         if stale_before is not None:
             waiting.where(_stale(stale_before)).write.mode("overwrite").parquet(f"{control_base}/stale/run={run_id}")
-            waiting = open_executions(result.core, stale_before)
+            waiting = waiting.where(~_stale(stale_before))
+        store_run(spark, result, silver_base, run_id, history, chunk, counts, waiting=waiting)
         waiting.write.mode("overwrite").parquet(f"{open_base}/run={run_id}")
         commit_files(pending, ledger_path, STAGE, run_id, updated_at_utc)
         found = counts.values()

@@ -85,6 +85,12 @@ def stages_of_run(spark: SparkSession) -> Iterator[None]:
             location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
+def application_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder; it goes when the application ends."""
+    folder = _application_folder(spark, stage_root(spark), spark.sparkContext.applicationId)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def write_stage(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back.
 
@@ -93,8 +99,7 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     lost executor costs a re-read instead of a recomputation.
     """
     spark = df.sparkSession
-    folder = _application_folder(spark, stage_root(spark), spark.sparkContext.applicationId)
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = application_path(spark, name)
     written = _WRITTEN.get()
     if written is not None:
         written.append(path)

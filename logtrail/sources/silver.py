@@ -80,8 +80,9 @@ def merge_silver(
 
     The days of stored copies come from the register of ids, wherever they lie,
     also without a date; only these days and those of the new rows are read and
-    rewritten. A complete execution goes before a cut one, then the new row, then
-    the later (`replace`: the new row in any case). `amend` rewrites columns of stored rows (marked `_new = 0`) in
+    rewritten. A complete execution goes before a cut one, then as in one batch the
+    last stream and the later time; of cut ones the new row. With `replace` the new
+    rows stand for the stored ones of their request and stream in any case. `amend` rewrites columns of stored rows (marked `_new = 0`) in
     `amended_days` besides. Without a table format this is read, merge, stage,
     overwrite: the merged partitions are written to the shared folder first, and
     only then replace their files, so no plan reads the files it overwrites.
@@ -94,10 +95,11 @@ def merge_silver(
     left = (days_of(copies, F.col("day")) | (amended_days or set())) & there
     entered = days_of(new)
     old = read_days(spark, base, (left | entered) & there)
-    both = new.withColumn("_new", F.lit(1)).unionByName(old.select(*new.columns).withColumn("_new", F.lit(0)))
-    order = [F.col("block_closed").desc(), F.col("_new").desc(), moment.desc_nulls_last()]
     if replace:
-        order.insert(0, F.col("_new").desc())
+        old = old.join(new.select("request_id", "log_stream").distinct(), ["request_id", "log_stream"], "left_anti")
+    both = new.withColumn("_new", F.lit(1)).unionByName(old.select(*new.columns).withColumn("_new", F.lit(0)))
+    closed = F.when(F.col("block_closed"), moment)
+    order = [F.col("block_closed").desc(), F.col("log_stream").desc_nulls_last(), closed.desc_nulls_last(), F.col("_new").desc(), moment.desc_nulls_last()]
     merged = keep_first(both, ["request_id"], order)
     merged = amend(merged) if amend is not None else merged
     staged = write_stage(observe(merged) if observe is not None else merged, "silver-merge")

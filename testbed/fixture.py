@@ -48,7 +48,9 @@ def events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
         F.col("user_id").alias("u"),
         F.col("event_type").alias("y"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
+        # Every third event lies at a whole second.
+        F.when(F.col("event_id") % 3 == 0, F.unix_seconds(F.col("ts").cast("timestamp")) * 1000)
+        .otherwise(F.unix_millis(F.col("ts").cast("timestamp"))).alias("ms"),
     )
 
 
@@ -136,8 +138,17 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("Ainda dentro do timeout."),
         F.when(e % 11 == 7, " tail").otherwise(""),
     )
-    request_id = F.concat(F.lit("req-"), e.cast("string"))
-    end_id = F.when(e % 17 == 0, F.concat(F.lit("req-x"), e.cast("string"))).otherwise(request_id)
+    # One execution in 31 has the request id of the next one, in a stream of its own;
+    # one in 101 runs for hours, its END and the line behind it in other hours than its START.
+    rid = F.when(e % 31 == 0, e + 1).otherwise(e).cast("string")
+    pace = F.when(e % 101 == 0, 1_500_000).otherwise(e % 4 * 250)
+    stream = (
+        F.when(e % 101 == 0, F.concat(F.lit("stream-long-"), e.cast("string")))
+        .when(e % 31 == 0, "stream-twin")
+        .otherwise(F.concat(F.lit("stream-"), (u % 8).cast("string")))
+    )
+    request_id = F.concat(F.lit("req-"), rid)
+    end_id = F.when(e % 17 == 0, F.concat(F.lit("req-x"), rid)).otherwise(request_id)
     lines = F.array(
         F.concat(F.lit("START RequestId: "), request_id, F.lit(" Version: $LATEST")),
         F.when(~error, "Evento recebido:"),
@@ -151,13 +162,14 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = F.when(e % 5 == 0, F.array(F.lit("collect-1"), F.lit("collect-2"))).otherwise(F.array(F.lit("collect-1")))
     return (
         events(spark, sf_dir, spread=True)
-        .select("e", "u", "ms", copies.alias("copies"), F.posexplode(lines).alias("ln", "message"))
+        .select("e", "ms", pace.alias("pace"), stream.alias("stream"), copies.alias("copies"), F.posexplode(lines).alias("ln", "message"))
         .where(F.col("message").isNotNull())
+        .withColumn("at", F.col("ms") + F.col("ln") * F.col("pace"))
         .select(
             F.concat(F.lpad(F.col("e").cast("string"), 12, "0"), F.lit("-"), F.col("ln").cast("string")).alias("eventId"),
-            F.col("ms").alias("timestamp"),
-            (F.col("ms") + 1500).alias("ingestionTime"),
-            F.concat(F.lit("stream-"), (F.col("u") % 8).cast("string")).alias("logStreamName"),
+            F.col("at").alias("timestamp"),
+            (F.col("at") + 1500).alias("ingestionTime"),
+            F.col("stream").alias("logStreamName"),
             "message",
             F.explode("copies").alias("collection_id"),
         )
