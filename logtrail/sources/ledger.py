@@ -54,9 +54,13 @@ def pending_files(files: DataFrame, ledger: DataFrame, stage: str) -> DataFrame:
 
 
 def partitions_of(files: DataFrame) -> DataFrame:
-    """The Bronze partitions of the files, from the folder names in their paths."""
+    """The Bronze partitions of the files, from the folder names in their paths.
+
+    The condition also tells the planner that this side is selective, so that a
+    scan joined with it is pruned when it runs.
+    """
     values = [F.regexp_extract("path", f"/{name}=([^/]+)/", 1).alias(name) for name in BRONZE_PARTITIONS]
-    return files.select(*values).distinct()
+    return files.select(*values).where(F.col(BRONZE_PARTITIONS[-1]) != "").distinct()
 
 
 def files_after(files: DataFrame, last_path: str | None) -> DataFrame:

@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 
 from helpers import DAY, MINUTE, day_of_site, raw_json
 from logtrail.plans.bronze_job import STAGE, collect_bronze
-from logtrail.plans.silver import run_silver
-from logtrail.schemas import BRONZE_COLUMNS, SILVER_COLUMNS, conform
+from logtrail.plans.silver import days_with_new_rule, pending_bronze, run_silver
+from logtrail.schemas import BRONZE_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA, conform
+from logtrail.session import write_stage
 from logtrail.sources import ledger
 from logtrail.sources.bronze import read_bronze, write_bronze
 from logtrail.sources.geo_tables import (
     ASN_BLOCK_SCHEMA, CITY_BLOCK_SCHEMA, read_geo_cache, read_network_blocks, append_geo_cache,
 )
 from logtrail.sources.raw_events import bronze_rows, resolve_collection, utc
-from logtrail.sources.silver import read_silver
+from logtrail.sources.registers import stored_ids
+from logtrail.sources.silver import merge_silver, read_days, read_silver, silver_days
 
 NOW = "2024-03-03T00:00:00+00:00"
 
@@ -149,6 +151,79 @@ def silver_of(spark, base, cuts, label):
     return sorted(tuple(r) for r in table.select(*SILVER_COLUMNS).collect())
 
 
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def explained(spark, df) -> str:
+    return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def test_a_merge_reads_only_days_hit(spark, tmp_path):
+    """The register of ids is joined without a shuffle of it, and Silver is read in the days of stored copies."""
+    base = f"{tmp_path}/silver"
+    text = {name: "" for name in SILVER_COLUMNS}
+
+    def rows(*items):
+        data = []
+        for rid, at, closed in items:
+            row = {**text, "request_id": rid, "timestamp_utc": at, "block_closed": closed, "log_stream": "s"}
+            data.append(tuple(None if f.dataType.simpleString() == "double" else row[f.name] or False if f.dataType.simpleString() == "boolean" else row[f.name]
+                              for f in SILVER_SCHEMA.fields))
+        return spark.createDataFrame(data, SILVER_SCHEMA)
+
+    merge_silver(rows(*[(f"r{d}", f"2024-03-{d:02d}T00:00:00Z", True) for d in range(1, 9)], ("none", "", False)), base)
+    assert silver_days(spark, base) == {"", *[f"2024-03-{d:02d}" for d in range(1, 9)]}
+
+    def files_of(day):
+        return {r[0] for r in read_days(spark, base, {day}).select(F.input_file_name()).collect()}
+
+    files = {day: files_of(day) for day in ("2024-03-05", "2024-03-07")}
+    merge_silver(rows(("r2", "2024-03-05T01:00:00Z", True), ("none", "2024-03-05T02:00:00Z", True)), base)
+    found = {r.request_id: (r.timestamp_utc, r.day) for r in read_silver(spark, base).collect()}
+    assert found["r2"] == ("2024-03-05T01:00:00Z", "05") and found["none"] == ("2024-03-05T02:00:00Z", "05") and len(found) == 9
+    assert silver_days(spark, base) == {f"2024-03-{d:02d}" for d in (1, 3, 4, 5, 6, 7, 8)}
+    assert files_of("2024-03-07") == files["2024-03-07"] and files_of("2024-03-05") != files["2024-03-05"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        asked = spark.range(10).select(F.concat(F.lit("r"), "id").alias("request_id"))
+        text = plan_of(stored_ids(spark, base).join(asked, "request_id", "left_semi"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Bucketed: true" in text and text.count("Exchange hashpartitioning") == 1
+    assert "PartitionFilters: [(concat_ws" in explained(spark, read_days(spark, base, {"2024-03-03"})).replace("[concat_ws", "[(concat_ws")
+
+
+def test_pending_partitions_prune_the_scan(spark, tmp_path):
+    for day in range(1, 7):
+        events = spark.createDataFrame([(f"e{day}", DAY + day * 1440 * MINUTE, DAY, "s", "x")],
+                                       "eventId string, timestamp long, ingestionTime long, logStreamName string, message string")
+        write_bronze(bronze_rows(events, resolve_collection(NOW)), f"{tmp_path}/b")
+    files = write_stage(ledger.parquet_files(spark, f"{tmp_path}/b").where("path LIKE '%day=04%'"), "pending")
+    bronze = pending_bronze(read_bronze(spark, f"{tmp_path}/b"), files)
+    assert [r.event_id for r in bronze.collect()] == ["e3"]
+    assert "dynamicpruning" in explained(spark, bronze)
+
+
+def test_days_ruled_by_a_late_boundary(spark):
+    """An apply on the 3rd rules the days up to the next boundary, the destroy on the 6th."""
+    schema = "request_id string, event_ts timestamp, log_stream string, start_ts timestamp, disparou_apply boolean, disparou_destroy boolean"
+
+    def boundary(rid, day, apply):
+        at = datetime(2024, 3, day, 12, tzinfo=timezone.utc)
+        return (rid, at, "s", at, apply, not apply)
+
+    stored = spark.createDataFrame([boundary("a1", 1, True), boundary("d6", 6, False), boundary("a8", 8, True)], schema)
+    days = {f"2024-03-{d:02d}" for d in range(1, 11)} | {""}
+    late = spark.createDataFrame([boundary("a3", 3, True)], schema)
+    assert days_with_new_rule(spark, days, stored, late) == {f"2024-03-{d:02d}" for d in (3, 4, 5, 6)}
+    last = spark.createDataFrame([boundary("d9", 9, False)], schema)
+    assert days_with_new_rule(spark, days, stored, last) == {"2024-03-09", "2024-03-10"}
+    assert days_with_new_rule(spark, days, stored, stored.limit(0)) == set()
+
+
 def test_increments_equal_one_run(spark, site):
     """Cuts inside executions, inside a cycle, and across midnight."""
     whole = silver_of(spark, site, [DAY + 2 * 1440 * MINUTE], "whole")
