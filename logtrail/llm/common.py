@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Rows of one Arrow batch: whole texts reach a Python worker in small lots.
 BATCH_ROWS = 512
+# Words of 64 bits in a bitmap of keys.
+BITMAP_WORDS = 1 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -40,6 +42,20 @@ def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
     return rows.where(place <= F.lit(cut)).limit(most)
 
 
+def maybe_in(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose key may be among the keys of `wanted`; those that certainly are not go before a join shuffles them.
+
+    The wanted keys set one bit each in a bitmap of BITMAP_WORDS words, which is
+    broadcast: at most that many pairs of numbers, however many keys there are.
+    """
+    place = F.xxhash64(key)
+    word = F.pmod(F.shiftright(place, 6), F.lit(BITMAP_WORDS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    bitmap = wanted.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    marked = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(bitmap), "_word")
+    return marked.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*rows.columns)
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The texts' bytes end to end and the n + 1 bounds between them; null is empty."""
     if isinstance(texts, pa.ChunkedArray):

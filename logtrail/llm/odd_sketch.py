@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logtrail.llm.common import batches, prepare
+from logtrail.llm.common import batches, maybe_in, prepare
 from logtrail.llm.components import components, write_small
 from logtrail.llm.wordhash import ROLL, Words, mix, records, run_hashes
 from logtrail.session import write_stage
@@ -135,7 +135,7 @@ def _full_sets(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 pa.array([sets[i].view(np.int64) for i in held], pa.list_(pa.int64())),
             )
 
-    found = rows.join(wanted, "doc").select("node", "text").mapInArrow(shingles, "node long, shingles array<long>")
+    found = maybe_in(rows, "doc", wanted).join(wanted, "doc").select("node", "text").mapInArrow(shingles, "node long, shingles array<long>")
     return found
 
 
@@ -241,9 +241,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
     places = linkable.select(F.explode("bands").alias("bucket"), "node")
     several = write_small(places.groupBy("bucket").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("bucket", "n"), "several")
-    buckets = write_stage(places.join(several.hint("shuffle_hash"), "bucket").distinct(), "buckets")
-    weights = buckets.groupBy("node").agg(F.sum("n").alias("weight"))
+        F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("bucket"), "several")
+    buckets = write_stage(maybe_in(places, "bucket", several).join(several.hint("shuffle_hash"), "bucket").distinct(), "buckets")
+    held = write_small(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket-sizes")
+    weights = buckets.join(held, "bucket").groupBy("node").agg(F.sum("n").alias("weight"))
     sketches = write_stage(
         linkable.join(weights, "node").groupBy("node").agg(
             F.min("doc").alias("doc"), F.min("weight").alias("weight"), *[F.min(name).alias(name) for name in _SKETCH]), "sketches")
@@ -254,7 +255,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         "bucket", F.col("top.node").alias("leader")), "leaders")
     pairs = buckets.join(leaders, "bucket").where("node <> leader").select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    links = write_small(_links(pairs, sketches, sets, percent), "links")
+    links = write_stage(_links(pairs, sketches, sets, percent), "links")
     found = components(links.union(_contested_links(buckets, components(links), sketches, sets, percent)))
 
     classes = linkable.groupBy("node").agg(F.min("doc").alias("first")).join(found, "node", "left").withColumn(
