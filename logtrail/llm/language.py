@@ -168,7 +168,12 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
 
 
 def keep_known(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = 0.0) -> DataFrame:
-    """The rows, all columns as they are, whose text is in a learned language with at least that score."""
+    """The rows, all columns as they are, whose text is in a learned language with at least that score.
+
+    Where no language was learned (no labelled row), nothing can be rejected: all rows stay.
+    """
+    if model.empty():
+        return docs
     shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
     place = docs.columns.index(text)
 

@@ -38,6 +38,11 @@ def test_op6_edges(spark):
     assert language.op6_language_id(frame(spark, [])).count() == 0
 
 
+def test_without_labels_nothing_is_rejected(spark):
+    docs = frame(spark, [(1, "some text"), (2, None)]).withColumn("lang", F.lit(None).cast("string"))
+    assert language.keep_known(docs, language.fit(docs)).count() == 2
+
+
 def test_keep_known_keeps_columns(spark):
     docs = frame(spark, edge_texts())
     kept = language.keep_known(docs, language.fit(docs))
