@@ -61,9 +61,9 @@ def _pick(index: Column, values: list[str]) -> Column:
 def ip_column() -> Column:
     u, k = F.col("u"), F.col("k")
     return (
-        F.when(u % 5 == 0, F.concat(F.lit("2804:14c:65a0:"), (u % 97).cast("string"), F.lit("::"), k.cast("string")))
+        F.when(u % 5 == 0, F.concat(F.lit("2001:db8:65a0:"), (u % 97).cast("string"), F.lit("::"), k.cast("string")))
         .when((u % 5 == 4) & (k < 10), "not-an-ip")
-        .otherwise(F.concat(F.lit("163.116."), (u % 200).cast("string"), F.lit("."), k.cast("string")))
+        .otherwise(F.concat(F.lit("198.18."), (u % 200).cast("string"), F.lit("."), k.cast("string")))
     )
 
 
@@ -124,7 +124,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcome = F.concat(
         F.when(y == "signup", '{"event": "deploy_triggered"}')
         .when(y == "purchase", "Servindo site via proxy S3")
-        .when(click, "Registro TEMPORARIO encontrado: True")
+        .when(click, "placeholder row found")
         .when(view & (k % 2 == 0), '{"event": "access_rejected"}')
         .when(view, '{"event": "active_site_untrusted_access"}')
         .when(
@@ -135,7 +135,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.lit(', "expiration_time": "2024-01-15T00:00:00+00:00"}'),
             ),
         )
-        .otherwise("Ainda dentro do timeout."),
+        .otherwise("Check: time is left."),
         F.when(e % 11 == 7, " tail").otherwise(""),
     )
     # One execution in 31 has the request id of the next one, in a stream of its own;
@@ -210,10 +210,10 @@ def city_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("UTC").alias("timezone"),
         )
 
-    v4 = rows(_numbered(spark, sf_dir, 200), F.concat(F.lit("163.116."), x.cast("string"), F.lit(".0/24")))
-    v6 = rows(_numbered(spark, sf_dir, 97), F.concat(F.lit("2804:14c:65a0:"), x.cast("string"), F.lit("::/64")))
+    v4 = rows(_numbered(spark, sf_dir, 200), F.concat(F.lit("198.18."), x.cast("string"), F.lit(".0/24")))
+    v6 = rows(_numbered(spark, sf_dir, 97), F.concat(F.lit("2001:db8:65a0:"), x.cast("string"), F.lit("::/64")))
     wide = _numbered(spark, sf_dir, 1).select(
-        F.lit("163.116.128.0/17").alias("network"),
+        F.lit("198.18.128.0/17").alias("network"),
         F.lit("FR").alias("country_code"),
         F.lit("Country FR").alias("country_name"),
         F.lit("wide").alias("city"),
@@ -236,7 +236,7 @@ def asn_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         _numbered(spark, sf_dir, 200)
         .where(x % 6 != 4)
         .select(
-            F.concat(F.lit("163.116."), x.cast("string"), F.lit(".0/24")).alias("network"),
+            F.concat(F.lit("198.18."), x.cast("string"), F.lit(".0/24")).alias("network"),
             number.alias("asn_number"),
             name.alias("asn_name"),
         )

@@ -47,7 +47,7 @@ CASES = {
     "site_servido": ([execution(False, False, 1, "b-1"), decision(True), "Servindo site via proxy S3"], True,
                      dict(serviu_site=True, renovou_timeout=True, deploy_avoided=False,
                           motivo_analise="acesso_site_servido")),
-    "aguardando_criacao": ([execution(False, True), decision(True), "Registro TEMPORARIO encontrado: True"], True,
+    "aguardando_criacao": ([execution(False, True), decision(True), "placeholder row found"], True,
                            dict(aguardando_criacao=True, manter_para_analise=False, bucket_name="",
                                 motivo_analise="refresh_aguardando_apply")),
     "site_servido_nao_confiavel": ([execution(False, False, 1, "b-1"), decision(False, "other"),

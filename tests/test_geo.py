@@ -25,9 +25,9 @@ def test_longest_prefix_equals_brute_force(spark):
         nets.add(str(ipaddress.ip_network((rng.choice([0x0A000000, 0xA3740000]) | rng.getrandbits(20), n), strict=False)))
     for _ in range(200):
         n = rng.choice([19, 32, 47, 64, 127, 128])
-        nets.add(str(ipaddress.ip_network(((0x2804014C << 96) | rng.getrandbits(90), n), strict=False)))
+        nets.add(str(ipaddress.ip_network(((0x20010DB8 << 96) | rng.getrandbits(90), n), strict=False)))
     ips = {str(ipaddress.ip_address(rng.choice([0x0A000000, 0xA3740000, 0x01000000]) | rng.getrandbits(20))) for _ in range(1500)}
-    ips |= {str(ipaddress.ip_address((0x2804014C << 96) | rng.getrandbits(92))) for _ in range(500)}
+    ips |= {str(ipaddress.ip_address((0x20010DB8 << 96) | rng.getrandbits(92))) for _ in range(500)}
     ips |= {"not-an-ip", "::ffff:10.0.0.7", "::1"}
     parsed = [ipaddress.ip_network(n) for n in nets]
 
@@ -40,7 +40,7 @@ def test_longest_prefix_equals_brute_force(spark):
         hits = [n for n in parsed if n.version == address.version and address in n]
         return str(max(hits, key=lambda n: n.prefixlen)) if hits else None
 
-    asn = spark.createDataFrame([("10.0.0.0/8", 7, "Ten Net"), ("163.116.0.0/16", None, "Other")], ASN_BLOCK_SCHEMA)
+    asn = spark.createDataFrame([("10.0.0.0/8", 7, "Ten Net"), ("198.18.0.0/16", None, "Other")], ASN_BLOCK_SCHEMA)
     frame = spark.createDataFrame([(i,) for i in ips], "ip string")
     rows = geo.lookup_networks(frame, city_rows(spark, nets), asn).collect()
     assert len(rows) == len(ips)
@@ -49,7 +49,7 @@ def test_longest_prefix_equals_brute_force(spark):
         assert row.city == (f"city {hit}" if hit else None), row.ip
         assert row.country_name == ("" if hit else None)
         assert row.org == ("AS7 Ten Net" if row.ip.startswith("10.") or row.ip == "::ffff:10.0.0.7"
-                           else "Other" if row.ip.startswith("163.116.") else None)
+                           else "Other" if row.ip.startswith("198.18.") else None)
 
 
 def test_owner_and_network_rules(spark):

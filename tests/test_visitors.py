@@ -18,7 +18,7 @@ SCHEMA = (
     "range string, motivo_confianca string, disparou_apply boolean, disparou_destroy boolean, bucket_name string, "
     "estado_resposta string"
 )
-IPS = {"v6": "2804:14c:65a0:430b:39a8:7451:bd4c:796f", "v4": "163.116.230.152"}
+IPS = {"v6": "2001:db8:65a0:12:a:b:c:d", "v4": "198.18.7.152"}
 
 
 def record(rid, minutes=0, ip=IPS["v4"], ua="Mozilla/5.0 Chrome/120.0", reason="all_checks_passed", apply=False,
@@ -40,7 +40,7 @@ def test_address_rules_equal_the_standard_parser(spark):
     texts = [
         "", "1.2.3.4", "01.2.3.4", "256.1.1.1", "1.2.3", "::", "::1", "1::", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8",
         "1::2::3", ":::", "::ffff:1.2.3.4", "64:ff9b::192.0.2.33", "fe80::1%eth0", "fe80::1%", "fe80::1%a%b", "1.2.3.4%e",
-        "fe80::1%a/b", "1:2:3:4:5:6:1.2.3.4", "1:2:3:4:5:6:7:1.2.3.4", "2804:14C:65a0:5::9", "12345::", "g::",
+        "fe80::1%a/b", "1:2:3:4:5:6:1.2.3.4", "1:2:3:4:5:6:7:1.2.3.4", "2001:DB8:65a0:5::9", "12345::", "g::",
         "1.2.3.4\n", "1.2.3.4/24", "não", *IPS.values(),
     ]
     for _ in range(2000):
@@ -110,7 +110,7 @@ def test_visitor_type(spark):
 
 @pytest.mark.parametrize("family", IPS)
 def test_visitor_id(spark, family):
-    near = {"v6": "2804:14c:65a0:430b:aaaa:bbbb:cccc:dddd", "v4": "163.116.230.9"}[family]
+    near = {"v6": "2001:db8:65a0:12:1:2:3:4", "v4": "198.18.7.9"}[family]
     r = by_id(enriched(
         spark, record("a", ip=IPS[family]), record("b", 5, ip=near), record("c", ip=IPS[family], ua="curl/8.0"),
         record("bad", ip="não-é-um-ip", ua="curl/8.0"), record("none", ip="", ua="curl/8.0"), record("null", ip=None, ua=None),
