@@ -110,4 +110,4 @@ def test_stages_keep_the_columns(spark):
 
 def test_all_operators_are_registered():
     names = driver.queries()
-    assert {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{n}" for n in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{n}" for n in range(1, 14)} and "pipeline" in names
