@@ -4,8 +4,8 @@ Each text is reduced to lower-case words joined by one space. The words that are
 keywords select the rules to try, so most texts meet no regex. Every match of a
 selected rule is a detection with its character interval. Where one detection
 holds another, the higher priority stays, then the longer, then the earlier rule.
-Detections are resolved in order of position, one cluster of overlapping ones at
-a time, all inside the row: no shuffle, no Python.
+Detections are resolved in one sweep by position, all inside the row: no shuffle,
+no Python. Work grows with a text's length, not with its square.
 
 Base phrases are counted apart from the rules: their places never suppress each other.
 
@@ -52,21 +52,27 @@ def rule_table(known: list[Rule]) -> Column:
     return F.create_map(*[item for keyword, own in by_keyword.items() for item in (F.lit(keyword), F.array(*own))])
 
 
+def _running(steps: Column) -> Column:
+    """The steps with `stop` summed from the first on: the distance doubles each round, so no list grows by copies."""
+
+    def add(state: Column, distance: Column) -> Column:
+        further = F.transform(state, lambda x, i: F.struct(
+            (x["stop"] + F.when(i >= distance, F.get(state, i - distance)["stop"]).otherwise(0)).alias("stop"), x["length"].alias("length")))
+        return F.when(F.size(state) > distance, further).otherwise(state)
+
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(31)]), steps, add)
+
+
 def _intervals(text: Column, rule: Column) -> Column:
-    """Detections of one rule: its matches with their places, from the pieces between them."""
+    """Detections of one rule: its matches with their places, from the pieces before them."""
     pieces = F.split(text, rule["pattern"], -1)
     matches = F.regexp_extract_all(text, rule["pattern"], F.lit(0))
-    none = F.array().cast("array<struct<start:int,stop:int>>")
-
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["piece"])
-        stop = start + F.length(pair["match"])
-        return F.struct(stop.alias("at"), F.concat(state["found"], F.array(F.struct(start.alias("start"), stop.alias("stop")))).alias("found"))
-
-    pairs = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda piece, match: F.struct(piece.alias("piece"), match.alias("match")))
-    places = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda state: state["found"])
-    return F.transform(places, lambda place: F.struct(
-        place["start"].alias("start"), (-place["stop"]).alias("minus_stop"), rule["number"].alias("number"),
+    steps = F.filter(
+        F.zip_with(pieces, matches, lambda piece, match: F.struct((F.length(piece) + F.length(match)).alias("stop"), F.length(match).alias("length"))),
+        lambda step: step["length"].isNotNull(),  # behind the last match
+    )
+    return F.transform(_running(steps), lambda place: F.struct(
+        (place["stop"] - place["length"]).alias("start"), (-place["stop"]).alias("minus_stop"), rule["number"].alias("number"),
         rule["label"].alias("label"), rule["priority"].alias("priority"), rule["confidence"].alias("confidence"),
     ))
 
@@ -86,31 +92,36 @@ def _beats(one: Column, other: Column) -> Column:
 
 
 def surviving(detections: Column) -> Column:
-    """(labels, confidence) of the detections that no other one beats."""
-    kind = "array<struct<start:int,minus_stop:int,number:int,label:string,priority:int,confidence:double>>"
-    none = F.array().cast(kind)
+    """(labels, confidence) of the detections that no other one beats.
+
+    A sweep by start. Only detections that reach beyond the current start are open,
+    at most one of each rule; a beaten one stays open, since it can beat others.
+    """
+    none = F.array().cast("array<struct<minus_stop:int,start:int,number:int,label:string,priority:int,confidence:double,beaten:boolean>>")
 
-    def settled(state: Column) -> Column:
-        left = F.filter(state["open"], lambda d: ~F.exists(state["open"], lambda e: _beats(e, d)))
+    def marked(one: Column, beaten: Column) -> Column:
+        return F.struct(*[one[c].alias(c) for c in ("minus_stop", "start", "number", "label", "priority", "confidence")], beaten.alias("beaten"))
+
+    def settled(state: Column, done: Column) -> Column:
+        left = F.filter(done, lambda d: ~d["beaten"])
         return F.struct(
             F.array_union(state["labels"], F.transform(left, lambda d: d["label"])).alias("labels"),
             F.greatest(state["confidence"], F.array_max(F.transform(left, lambda d: d["confidence"]))).alias("confidence"),
         )
 
     def step(state: Column, found: Column) -> Column:
-        apart = found["start"] >= state["stop"]
-        done = settled(state)
+        ended = F.exists(state["open"], lambda d: -d["minus_stop"] <= found["start"])
+        done = settled(state, F.filter(state["open"], lambda d: -d["minus_stop"] <= found["start"]))
+        still = F.filter(state["open"], lambda d: -d["minus_stop"] > found["start"])
+        beaten = F.exists(state["open"], lambda d: _beats(d, found))
         return F.struct(
-            F.when(apart, -found["minus_stop"]).otherwise(F.greatest(state["stop"], -found["minus_stop"])).alias("stop"),
-            F.when(apart, F.array(found)).otherwise(F.concat(state["open"], F.array(found))).alias("open"),
-            F.when(apart, done["labels"]).otherwise(state["labels"]).alias("labels"),
-            F.when(apart, done["confidence"]).otherwise(state["confidence"]).alias("confidence"),
+            F.concat(F.transform(still, lambda d: marked(d, d["beaten"] | _beats(found, d))), F.array(marked(found, beaten))).alias("open"),
+            F.when(ended, done["labels"]).otherwise(state["labels"]).alias("labels"),
+            F.when(ended, done["confidence"]).otherwise(state["confidence"]).alias("confidence"),
         )
 
-    start = F.struct(
-        F.lit(0).alias("stop"), none.alias("open"), F.array().cast("array<string>").alias("labels"), F.lit(0.0).alias("confidence")
-    )
-    return F.aggregate(F.array_sort(detections), start, step, settled)
+    start = F.struct(none.alias("open"), F.array().cast("array<string>").alias("labels"), F.lit(0.0).alias("confidence"))
+    return F.aggregate(F.array_sort(detections), start, step, lambda state: settled(state, state["open"]))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -137,6 +137,14 @@ def test_rules_hold_their_keyword():
     assert all(re.compile(r.pattern) and r.keyword in re.split(r"[^\w]+", r.pattern) for r in known)
 
 
+def test_op2_long_texts_of_many_detections(spark):
+    """60,000 detections and more in one text; with the square of them this test would not end."""
+    text = F.repeat(F.lit("see the mit license file "), 20000)
+    (row,) = licenses.op2_license_scan(spark.range(1).select(F.col("id").alias("doc_id"), text.alias("text"))).collect()
+    assert (row.n_words, row.n_base, row.first_word, row.last_word) == (100000, 20000, 2, 99997)
+    assert row.labels == licenses.op2_license_scan(frame(spark, [(1, "see the mit license file " * 3)])).first().labels
+
+
 # --- surrogates -------------------------------------------------------------------
 
 KEY = b"test key"
