@@ -15,14 +15,22 @@ of trees, the same bound prunes pairs of nodes against the worst k-th score of
 the query node. Queries x shards are compared by centre and radius, never row by
 row, and results keep k rows for each query and task before they are merged.
 
-Defined cases: vectors that are null, or hold a null or a non-finite component,
-or differ in length from the rest take no part; nor do null ids. Of repeated
-ids each row is a candidate, and a query never meets its own id. Fewer than k
-candidates give fewer rows. Other columns are ignored.
+Scores are exact. Where a pair's norms stay below 2^53, float64 holds every partial
+sum; beyond, float64 finds the hopeful candidates, with a margin for its rounding,
+and Python integers score these. Bounds carry the same relative margin.
+
+Defined cases: vectors that are null, empty, or hold a null or a non-finite component
+take no part; nor do null ids. Vectors of several lengths have shards of their own,
+and the shorter of two counts as padded with zeros. Of repeated ids each row is a
+candidate, and a query never meets its own id. Fewer than k candidates give fewer
+rows. A component of 2^46 or more, and a score in the result that no long holds, end
+the query with an error that names the row. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -39,6 +47,8 @@ GROUP_ROWS = 512
 LEAF = 256
 LANES = 64
 NEAREST_PIVOTS = 2
+EXACT = 2.0**53
+LARGEST = 2.0**46  # 64 times this, squared and summed over 2^22 components, fits a decimal of 38 digits
 SHARD = "shard long, pivot int, centre binary, radius double, points binary, ids binary, counts binary, tree binary"
 
 
@@ -114,6 +124,7 @@ class Side:
         self.at = np.concatenate([[0], np.cumsum(self.counts)])
         self.centre = self.points[nodes[:, 2].astype(np.int64)]
         self.norm = np.sqrt((self.centre**2).sum(axis=1))
+        self.length = np.sqrt((self.points**2).sum(axis=1))
         self.children: list[list[int]] = [[] for _ in nodes]
         for node, parent in enumerate(nodes[:, 4].astype(np.int64)):
             if parent >= 0:
@@ -136,36 +147,50 @@ def pack(shard: int, pivot: int, points: np.ndarray, ids: list[np.ndarray]) -> d
 
 
 class Best:
-    """The k best (score, id) of each query of a group so far."""
+    """The k best (score, id) of each query of a group so far; scores are Python integers where float64 is not exact."""
 
-    def __init__(self, queries: int, k: int):
+    def __init__(self, queries: int, k: int, exact: bool = True):
         self.k = k
-        self.scores = np.full((queries, k), -np.inf)
+        self.scores = np.full((queries, k), -np.inf, np.float64 if exact else object)
         self.ids = np.full((queries, k), np.iinfo(np.int64).max)
 
     def worst(self, rows: slice) -> float:
         return float(self.scores[rows, -1].min())
 
-    def offer(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Merge candidates (rows x n) with ids (n)."""
-        hopes = scores >= self.scores[rows, -1][:, None]
+    def offer(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, margin: float = 0.0, exactly=None) -> None:
+        """Merge candidates (rows x n) with ids (n); `exactly(place, column)` scores those within the margin."""
+        hopes = np.isfinite(scores) & (scores + margin >= self.scores[rows, -1].astype(np.float64)[:, None])
         for place in np.flatnonzero(hopes.any(axis=1)):
             row, own, hopeful = rows[place], scores[place], np.flatnonzero(hopes[place])
-            all_scores = np.concatenate([self.scores[row], own[hopeful]])
             all_ids = np.concatenate([self.ids[row], ids[hopeful]])
-            keep = np.lexsort((all_ids, -all_scores))[: self.k]
+            if exactly:
+                all_scores = np.array([*self.scores[row], *(exactly(place, column) for column in hopeful)], object)
+                keep = sorted(range(len(all_ids)), key=lambda i: (-all_scores[i], all_ids[i]))[: self.k]
+            else:
+                all_scores = np.concatenate([self.scores[row], own[hopeful]])
+                keep = np.lexsort((all_ids, -all_scores))[: self.k]
             self.scores[row], self.ids[row] = all_scores[keep], all_ids[keep]
 
 
+def _margin(width: int) -> float:
+    """Rounding of an inner product of this many components, relative to the product of the norms."""
+    return (width + 16) * 2.0**-51
+
+
 def search(queries: Side, data: Side, best: Best) -> None:
     """Dual-tree search: pairs of nodes by falling bound, pruned against the query node's worst k-th score."""
     query_ids = queries.ids[queries.at[:-1]]
+    width = min(queries.points.shape[1], data.points.shape[1])
+    q_points, d_points = queries.points[:, :width], data.points[:, :width]
+    q_centre, d_centre = queries.centre[:, :width], data.centre[:, :width]
+    rounding = _margin(width)
 
     def bound(q: int, d: int) -> float:
+        r, s = queries.radius[q], data.radius[d]
         return float(
-            queries.centre[q] @ data.centre[d] + queries.norm[q] * data.radius[d]
-            + data.norm[d] * queries.radius[q] + queries.radius[q] * data.radius[d]
-        ) + 1e-6
+            q_centre[q] @ d_centre[d] + queries.norm[q] * s + data.norm[d] * r + r * s
+            + rounding * (queries.norm[q] + r) * (data.norm[d] + s)
+        )
 
     stack = [(bound(0, 0), 0, 0)]
     while stack:
@@ -176,12 +201,22 @@ def search(queries: Side, data: Side, best: Best) -> None:
         below_q, below_d = queries.children[q], data.children[d]
         if not below_d and not below_q:
             place = slice(data.first[d], data.last[d])
-            scores = queries.points[rows] @ data.points[place].T
+            scores = q_points[rows] @ d_points[place].T
             counts = data.counts[place]
             ids = data.ids[data.at[data.first[d]] : data.at[data.last[d]]]
             wide = np.repeat(scores, counts, axis=1)
             wide[query_ids[rows][:, None] == ids[None, :]] = -np.inf
-            best.offer(np.arange(queries.first[q], queries.last[q]), wide, ids)
+            own = np.arange(queries.first[q], queries.last[q])
+            if best.scores.dtype == object:
+                point = np.repeat(np.arange(data.first[d], data.last[d]), counts)
+                margin = rounding * float(queries.length[rows].max() * data.length[place].max())
+
+                def exactly(row: int, column: int) -> int:
+                    return sum(int(x) * int(y) for x, y in zip(q_points[own[row]], d_points[point[column]]))
+
+                best.offer(own, wide, ids, margin, exactly)
+            else:
+                best.offer(own, wide, ids)
             continue
         if below_d and (not below_q or data.radius[d] >= queries.radius[q]):
             pairs = [(bound(q, child), q, child) for child in below_d]
@@ -197,9 +232,11 @@ def integer_vectors(rows: DataFrame, key: str, vector: str, scale: int = 64) ->
     """id, v (floor of scale times each component) of the rows with a whole, finite vector."""
     kept = rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where(
         F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)
-        & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(2.0**40)))
+        & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     )
-    return kept.select("id", F.transform("v", lambda x: F.floor(x * scale).cast("long")).alias("v"))
+    whole = F.transform("v", lambda x: F.floor(x * scale).cast("long"))
+    too_large = F.raise_error(F.concat(F.lit("a component of 2^46 or more in vector "), F.col("id").cast("string")))
+    return kept.select("id", F.when(F.exists("v", lambda x: F.abs(x) >= F.lit(LARGEST)), too_large).otherwise(whole).alias("v"))
 
 
 def _folded(vectors: DataFrame, k: int) -> DataFrame:
@@ -209,9 +246,19 @@ def _folded(vectors: DataFrame, k: int) -> DataFrame:
     return first.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
 
+def _padded(vectors: list) -> np.ndarray:
+    """One row per vector, zeros behind the shorter ones."""
+    if len({len(v) for v in vectors}) < 2:
+        return np.array(vectors, np.float64)
+    out = np.zeros((len(vectors), max(map(len, vectors))))
+    for row, vector in zip(out, vectors):
+        row[: len(vector)] = vector
+    return out
+
+
 def _pivots(folded: DataFrame) -> np.ndarray:
     """Far-apart vectors of a bounded sample: the upper level of the cover tree."""
-    sample = np.array([r.v for r in folded.orderBy(F.xxhash64("v"), "v").select("v").limit(PIVOT_SAMPLE).collect()], np.float64)
+    sample = _padded([r.v for r in folded.orderBy(F.xxhash64("v"), "v").select("v").limit(PIVOT_SAMPLE).collect()])
     if not len(sample):
         return np.zeros((0, 0))
     chosen, away = [0], _distances(sample, sample[0])
@@ -227,19 +274,21 @@ def _with_pivot(folded: DataFrame, pivots: np.ndarray) -> DataFrame:
 
     def nearest(source):
         for batch in batches(source):
-            points = np.array(batch.column("v").to_pylist(), np.float64)
-            pivot = (squares - 2 * points @ pivots.T).argmin(axis=1).astype(np.int32)
+            points = _padded(batch.column("v").to_pylist())
+            width = min(points.shape[1], pivots.shape[1])
+            pivot = (squares - 2 * points[:, :width] @ pivots[:, :width].T).argmin(axis=1).astype(np.int32)
             yield records("v ids pivot", batch.column("v"), batch.column("ids"), pivot)
 
     return folded.mapInArrow(nearest, "v array<long>, ids array<long>, pivot int")
 
 
 def _index(placed: DataFrame, rows_in_shard: int) -> DataFrame:
-    """One row per shard. The number of salts of a pivot follows its count."""
-    counts = placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))  # at most PIVOTS rows
+    """One row per shard, of one length of vectors. The number of salts of a pivot and length follows its count."""
+    placed = placed.withColumn("width", F.size("v"))
+    counts = placed.groupBy("pivot", "width").agg(F.count(F.lit(1)).alias("n"))
     salts = F.ceil(F.col("n") / rows_in_shard).cast("long")
-    dealt = placed.join(F.broadcast(counts), "pivot").withColumn("salt", F.pmod(F.xxhash64("v", F.col("ids")[0]), salts))
-    dealt = dealt.withColumn("shard", F.xxhash64("pivot", "salt")).select("shard", "pivot", "v", "ids")
+    dealt = placed.join(counts, ["pivot", "width"]).withColumn("salt", F.pmod(F.xxhash64("v", F.col("ids")[0]), salts))
+    dealt = dealt.withColumn("shard", F.xxhash64("pivot", "width", "salt")).select("shard", "pivot", "v", "ids")
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         points = np.array(frame["v"].tolist(), np.float64)
@@ -256,11 +305,14 @@ def _bounds(groups: DataFrame, shards: DataFrame) -> DataFrame:
     def bound(source):
         for batch in batches(source):
             def points(name):
-                return np.array([np.frombuffer(x, np.float64) for x in batch.column(name).to_pylist()])
+                return _padded([np.frombuffer(x, np.float64) for x in batch.column(name).to_pylist()])
 
             c, d = points("g_centre"), points("s_centre")
+            width = max(c.shape[1], d.shape[1])
+            c, d = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (c, d))
             r, s = batch.column("g_radius").to_numpy(), batch.column("s_radius").to_numpy()
-            most = (c * d).sum(axis=1) + np.sqrt((c * c).sum(axis=1)) * s + np.sqrt((d * d).sum(axis=1)) * r + r * s + 1e-6
+            c_norm, d_norm = np.sqrt((c * c).sum(axis=1)), np.sqrt((d * d).sum(axis=1))
+            most = (c * d).sum(axis=1) + c_norm * s + d_norm * r + r * s + _margin(width) * (c_norm + r) * (d_norm + s)
             gap = np.sqrt(((c - d) ** 2).sum(axis=1))
             yield records("g s most gap", batch.column("g"), batch.column("s"), most, gap)
 
@@ -271,8 +323,8 @@ def _bounds(groups: DataFrame, shards: DataFrame) -> DataFrame:
     return pairs.mapInArrow(bound, "g long, s long, most double, gap double")
 
 
-def _searched(pairs: DataFrame, groups: DataFrame, shards: DataFrame, k: int) -> DataFrame:
-    """query_id, vec_id, score: the k best of each query within each pair (g, s, floor)."""
+def _searched(pairs: DataFrame, groups: DataFrame, shards: DataFrame, k: int, score: str) -> DataFrame:
+    """query_id, vec_id, score (of the SQL type named): the k best of each query within each pair (g, s, floor)."""
     left = groups.select(F.col("shard").alias("g"), *[F.col(c).alias(f"g_{c}") for c in ("points", "ids", "counts", "tree")])
     right = shards.select(F.col("shard").alias("s"), *[F.col(c).alias(f"s_{c}") for c in ("points", "ids", "counts", "tree")])
 
@@ -281,16 +333,15 @@ def _searched(pairs: DataFrame, groups: DataFrame, shards: DataFrame, k: int) ->
             for row in batch.to_pylist():
                 queries = Side({c: row[f"g_{c}"] for c in ("points", "ids", "counts", "tree")})
                 data = Side({c: row[f"s_{c}"] for c in ("points", "ids", "counts", "tree")})
-                best = Best(len(queries.counts), k)
+                best = Best(len(queries.counts), k, exact=queries.length.max() * data.length.max() < EXACT)
                 best.scores[:] = row["floor"]
                 search(queries, data, best)
-                found, column = np.nonzero((best.ids < np.iinfo(np.int64).max) & np.isfinite(best.scores))
-                yield records(
-                    "query_id vec_id score", queries.ids[queries.at[found]], best.ids[found, column],
-                    best.scores[found, column].astype(np.int64),
-                )
+                found, column = np.nonzero(best.ids < np.iinfo(np.int64).max)
+                scores = [int(x) for x in best.scores[found, column]]
+                held = pa.array(scores, pa.int64()) if score == "long" else pa.array(map(Decimal, scores), pa.decimal128(38, 0))
+                yield records("query_id vec_id score", queries.ids[queries.at[found]], best.ids[found, column], held)
 
-    return pairs.join(left, "g").join(right, "s").mapInArrow(run, "query_id long, vec_id long, score long")
+    return pairs.join(left, "g").join(right, "s").mapInArrow(run, f"query_id long, vec_id long, score {score}")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -302,10 +353,11 @@ def top_k(rows: DataFrame, is_query, key: str = "vec_id", vector: str = "embeddi
     """query_id, rank, vec_id, score: the k best of all rows for each row that is_query (a condition on `id`) takes."""
     spark = prepare(rows.sparkSession)
     vectors = integer_vectors(rows, key, vector)
-    width = vectors.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").head()
-    if width:
-        vectors = vectors.where(F.size("v") == width["n"])
     folded = write_stage(_folded(vectors, k), "folded")
+    # No score passes the largest square of a length; beyond a long, scores travel as decimals.
+    square = F.aggregate("v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    largest = folded.agg(F.max(square)).head()[0]
+    score = "long" if (largest or 0.0) < 2.0**62 else "decimal(38,0)"
     pivots = _pivots(folded)
     if not len(pivots):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -315,14 +367,20 @@ def top_k(rows: DataFrame, is_query, key: str = "vec_id", vector: str = "embeddi
     bounds = write_stage(_bounds(groups, shards), "bounds")
     nearest = Window.partitionBy("g").orderBy("gap", "s")
     first = bounds.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= NEAREST_PIVOTS)
-    near = write_stage(_best(_searched(first.select("g", "s", F.lit(float("-inf")).alias("floor")), groups, shards, k), k), "near")
+    near = write_stage(_best(_searched(first.select("g", "s", F.lit(float("-inf")).alias("floor")), groups, shards, k, score), k), "near")
     # The worst k-th score of each group; a query with fewer than k so far has none to beat.
     of_query = groups.select(F.col("shard").alias("g"), "ids").mapInArrow(_members, "g long, query_id long")
-    kth = of_query.join(near.where(F.col("rank") == k).select("query_id", "score"), "query_id", "left").groupBy("g").agg(
-        F.min(F.coalesce(F.col("score").cast("double"), F.lit(float("-inf")))).alias("floor"))
+    # As a double it is rounded down, so that no score equal to it is lost.
+    kth_score = F.col("score").cast("double") - F.abs(F.col("score").cast("double")) * 2.0**-50
+    kth = of_query.join(near.where(F.col("rank") == k).select("query_id", kth_score.alias("score")), "query_id", "left").groupBy("g").agg(
+        F.min(F.coalesce("score", F.lit(float("-inf")))).alias("floor"))
     rest = bounds.join(first.select("g", "s"), ["g", "s"], "left_anti").join(kth, "g").where("most >= floor").select("g", "s", "floor")
-    found = _searched(rest, groups, shards, k)
+    found = _searched(rest, groups, shards, k, score)
     merged = _best(near.drop("rank").unionByName(found), k)
+    if score != "long":
+        no_long = F.raise_error(F.concat(F.lit("no long holds the score of query "), F.col("query_id").cast("string")))
+        fits = F.col("score").between(F.lit(-(2**63)).cast(score), F.lit(2**63 - 1).cast(score))
+        merged = merged.withColumn("score", F.when(fits, F.col("score").cast("long")).otherwise(no_long.cast("long")))
     return merged.select("query_id", "rank", "vec_id", "score")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -53,6 +54,41 @@ def test_small_shards_and_groups(spark, monkeypatch):
     assert {tuple(r) for r in cover_tree.op7_cover_tree(df).collect()} == search_brute(rows)
 
 
+def exact_brute(rows, k=20, step=20):
+    """Python integers throughout; the shorter of two vectors is padded with zeros."""
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    out = set()
+    for i, v in whole:
+        if i % step == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in whole if j != i)[:k]
+            out |= {(i, rank + 1, j, -s) for rank, (s, j) in enumerate(best)}
+    return out
+
+
+@pytest.mark.parametrize("large", [2.0**22 + 1 / 64, 2.0**33, 2.0**41])
+def test_op7_scores_beyond_doubles(spark, monkeypatch, large):
+    """Large components, several lengths, scores that differ only behind the 53rd bit: no vector is left out, no bit lost."""
+    monkeypatch.setattr(cover_tree, "SHARD_ROWS", 32)
+    monkeypatch.setattr(cover_tree, "GROUP_ROWS", 4)
+    monkeypatch.setattr(cover_tree, "LEAF", 8)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) / 64 for x in rng.integers(-9, 10, 3 + i % 3)]) for i in range(200)]
+    for n in range(40):  # one side large: products up to 2^58, a unit apart
+        rows.append((300 + n, [0.0, large + n / 64, 1.0 + n // 2 / 64][: 2 + n % 2]))
+    if large < 2.0**23:
+        rows.append((400, [large, large, 1.0]))
+    rows.append((500, [-3.0, 5.0, 1 / 64, 2.0]))
+    rows = [(i, v) for i, v in rows if large < 2.0**23 or i not in range(300, 400, 20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in cover_tree.op7_cover_tree(df).collect()} == exact_brute(rows)
+
+
+def test_op7_ends_where_no_long_holds_a_score(spark):
+    for rows, what in (([(0, [2.0**40]), (1, [2.0**40])], "no long holds the score of query 0"), ([(0, [1.0]), (7, [2.0**46])], "in vector 7")):
+        with pytest.raises(Exception, match=what):
+            cover_tree.op7_cover_tree(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+
+
 def test_trees_cover_their_points():
     points = np.random.default_rng(2).integers(-9, 9, (500, 5)).astype(np.float64)
     tree = cover_tree.Tree(points)
