@@ -17,11 +17,17 @@ and Spanish groupings. Dates are none. Name parts hold inner capitals and
 apostrophes. Not found: nine digits in one run without a mark, parts in small
 letters (von, de la), initials and titles in capitals or missing in TITLES.
 
+One first name is one entity, whatever title it stands behind: its gender is the one
+that more texts of the corpus give it, and open where they tie or none does.
+
 Collision check: all distinct entities of the corpus get their surrogate of attempt
 0. While two entities of a kind share a surrogate, or a surrogate equals an entity
 of the corpus, all but the smallest of the former and all of the latter go to the
-next attempt. The few entities with another attempt than 0 are joined to the
-documents that hold them; everything else is computed in place.
+next attempt; first names of all genders are one kind here. A format that runs out
+of values gets longer ones: one more character after every LONGER_AFTER attempts, and
+for an IPv4 address an IPv6 one. The few entities with another attempt than 0, or
+another gender than their title says, are joined to the documents that hold them;
+everything else is computed in place.
 
 Defined cases: null text stays null, empty text empty, without entities a text is
 returned unchanged. An e-mail address, a secret and a name have no greatest length:
@@ -32,7 +38,6 @@ are kept as they are by `replace_in`.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import hmac
 import re
@@ -44,8 +49,9 @@ from pyspark.sql import DataFrame, functions as F
 from logtrail.llm.common import batches, prepare
 from logtrail.session import write_stage
 
-MOST_ATTEMPTS = 64
+LONGER_AFTER = 16
 MALE, FEMALE, ANY = "male", "female", "any"
+FIRST = "name-first"
 # Titles by gender (fixed words of the language, matched as written).
 TITLES = {
     MALE: ["Mr", "Mister", "Sir", "Lord", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "господин", "г-н", "κύριος"],
@@ -248,31 +254,34 @@ def _other_letter(char: str, draw: _Stream) -> str:
 def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
     """Canonical form of the surrogate of an entity given by its canonical form."""
     draw = _Stream(key, kind, form, attempt)
+    more = "0" * (attempt // LONGER_AFTER)
     if kind == "email":
         local, domain = form.rsplit("@", 1)
         labels = domain.split(".")
         longer = "".join(_LOWER[draw.below(26)] for _ in range(attempt // 4))  # short forms run out
         return f"{_like(local, draw)}{longer}@{'.'.join([_like(label, draw) for label in labels[:-1]] + labels[-1:])}"
     if kind == "ip":
+        if more:
+            return ":".join(["fd00", *(f"{draw.below(1 << 16):x}" for _ in range(7))])
         if attempt >= 4:  # addresses of the same number lengths run out
             return ".".join(str(draw.below(256)) for _ in range(4))
         return ".".join(str(_octet(part, draw)) for part in form.split("."))
     if kind == "card":
-        body = form[0] + _like(form[1:-1], draw)
+        body = form[0] + _like(form[1:-1] + more, draw)
         return next(body + d for d in _DIGITS if luhn(body + d) == luhn(form)) if luhn(form) else body + _like(form[-1], draw)
     if kind == "phone":
         kept = 2 if form.startswith("00") else 1 if form[0] == "0" else max(0, min(3, len(form) - 10))  # zeros or country code
-        return form[:kept] + _like(form[kept:], draw)
+        return form[:kept] + _like(form[kept:] + more, draw)
     if kind == "iban":
-        body = _like(form[4:], draw)
+        body = _like(form[4:] + more, draw)
         rest = int("".join(str(int(c, 36)) for c in body + form[:2] + "00")) % 97
         return f"{form[:2]}{98 - rest:02d}{body}"
     if kind == "secret":
         if re.fullmatch(r"[0-9a-f]+", form):
-            return "".join("0123456789abcdef"[draw.below(16)] for _ in form)
+            return "".join("0123456789abcdef"[draw.below(16)] for _ in form + more)
         if re.fullmatch(r"[0-9A-F]+", form):
-            return "".join("0123456789ABCDEF"[draw.below(16)] for _ in form)
-        return _like(form, draw)
+            return "".join("0123456789ABCDEF"[draw.below(16)] for _ in form + more)
+        return _like(form + more, draw)
     script = script_of(form)
     family = lambda: "".join(parts[draw.below(len(parts))] for parts in SURNAME_PARTS[script])
     if kind == "name-last":
@@ -293,17 +302,21 @@ def laid_out(kind: str, value: str, made: str) -> str:
     """The surrogate's canonical form written the way the mention is."""
     if kind in ("card", "phone", "iban"):
         chars = iter(made)
-        return "".join(next(chars) if c.isalnum() else c for c in value)
+        return "".join([*(next(chars) if c.isalnum() else c for c in value), *chars])
     if kind == "email":
         return "".join(m.upper() if v.isupper() else m for v, m in zip_longest(value[: len(made)], made, fillvalue=""))
     return made.upper() if kind.startswith("name") and value.isupper() else made
 
 
-def replaced(text: str | None, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str | None, list[dict]]:
-    """The text with surrogates, and the entities with their places in the old text."""
+def replaced(text: str | None, key: bytes, settled: dict[tuple[str, str], tuple[str, int]]) -> tuple[str | None, list[dict]]:
+    """The text with surrogates, and the entities with their places in the old text.
+
+    `settled` holds the kind and attempt of the entities that keep not their own kind at attempt 0.
+    """
     entities, parts, end = [], [], 0
     for start, stop, kind, form in detect(text or ""):
-        made = laid_out(kind, text[start:stop], surrogate(key, kind, form, attempts.get((kind, form), 0)))
+        own, attempt = settled.get((kind, form), (kind, 0))
+        made = laid_out(kind, text[start:stop], surrogate(key, own, form, attempt))
         parts += [text[end:start], made]
         entities.append({"kind": kind, "start": start, "stop": stop, "surrogate": made})
         end = stop
@@ -324,36 +337,45 @@ def _mentions(rows: DataFrame) -> DataFrame:
 
 
 def _with_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
-    """kind, form, attempt -> the same and made."""
+    """domain, kind, form, attempt -> the same and made."""
 
     def make(source):
         for batch in batches(source):
-            held = batch.select(["kind", "form", "attempt"])
-            made = [surrogate(key, k, f, a) for k, f, a in zip(*(c.to_pylist() for c in held.columns))]
-            yield pa.RecordBatch.from_arrays([*held.columns, pa.array(made, pa.string())], ["kind", "form", "attempt", "made"])
+            held = batch.select(["domain", "kind", "form", "attempt"])
+            made = [surrogate(key, k, f, a) for _, k, f, a in zip(*(c.to_pylist() for c in held.columns))]
+            yield pa.RecordBatch.from_arrays([*held.columns, pa.array(made, pa.string())], ["domain", "kind", "form", "attempt", "made"])
+
+    return entities.select("domain", "kind", "form", "attempt").mapInArrow(make, "domain string, kind string, form string, attempt int, made string")
+
 
-    return entities.select("kind", "form", "attempt").mapInArrow(make, "kind string, form string, attempt int, made string")
+def _one_gender(votes: DataFrame) -> DataFrame:
+    """domain, form, kind: each first name once, of the gender that most texts give it."""
+    texts = {gender: F.sum(F.when(F.col("kind") == f"name-first-{gender}", F.col("texts")).otherwise(0)) for gender in (MALE, FEMALE)}
+    more = texts[MALE] - texts[FEMALE]
+    gender = F.when(more > 0, MALE).when(more < 0, FEMALE).otherwise(ANY)
+    return votes.groupBy("domain", "form").agg(
+        F.when(F.col("domain") == FIRST, F.concat(F.lit(f"{FIRST}-"), gender)).otherwise(F.min("kind")).alias("kind"))
 
 
-def attempts_needed(mentions: DataFrame, key: bytes) -> DataFrame:
-    """kind, form, attempt of the distinct entities, without collisions; written to the shared folder."""
-    first = mentions.select("kind", "form").distinct().withColumn("attempt", F.lit(0))
-    table, attempt = write_stage(_with_surrogates(first, key), "surrogates"), 0
+def settle(mentions: DataFrame, key: bytes) -> DataFrame:
+    """kind (as mentioned), form, own (the kind it is of), attempt: the entities that keep not their own kind at attempt 0."""
+    domain = F.when(F.col("kind").startswith(FIRST), FIRST).otherwise(F.col("kind"))
+    votes = write_stage(mentions.groupBy("kind", "form").agg(F.count(F.lit(1)).alias("texts")).withColumn("domain", domain), "votes")
+    table = write_stage(_with_surrogates(_one_gender(votes).withColumn("attempt", F.lit(0)), key), "surrogates")
     while True:
-        owner = table.groupBy("kind", F.col("made").alias("taken")).agg(F.min("form").alias("owner"))
-        real = table.select("kind", F.col("form").alias("taken"), F.lit(True).alias("real"))
+        owner = table.groupBy("domain", F.col("made").alias("taken")).agg(F.min("form").alias("owner"))
+        real = table.select("domain", F.col("form").alias("taken"), F.lit(True).alias("real"))
         checked = (
-            table.withColumn("taken", F.col("made")).join(owner, ["kind", "taken"]).join(real, ["kind", "taken"], "left")
-            .select("kind", "form", "attempt", "made", ((F.col("owner") != F.col("form")) | F.coalesce("real", F.lit(False))).alias("again"))
+            table.withColumn("taken", F.col("made")).join(owner, ["domain", "taken"]).join(real, ["domain", "taken"], "left")
+            .select("domain", "kind", "form", "attempt", "made", ((F.col("owner") != F.col("form")) | F.coalesce("real", F.lit(False))).alias("again"))
         )
         checked = write_stage(checked, "checked")
         if checked.where("again").limit(1).count() == 0:
-            return table
-        attempt += 1
-        if attempt > MOST_ATTEMPTS:
-            raise ValueError("a format has fewer values than the corpus has entities of it")
+            break
         moved = _with_surrogates(checked.where("again").withColumn("attempt", F.col("attempt") + 1), key)
         table = write_stage(checked.where("NOT again").drop("again").union(moved), "surrogates")
+    found = table.select("domain", "form", F.col("kind").alias("own"), "attempt")
+    return votes.join(found, ["domain", "form"]).where("attempt > 0 OR own != kind").select("kind", "form", "own", "attempt")
 
 
 def _marked(docs: DataFrame, text: str) -> tuple[DataFrame, str]:
@@ -368,11 +390,11 @@ def replace_in(docs: DataFrame, key: bytes, text: str = "text", entities: str |
     """All rows and columns, with surrogates in the text column; `entities` names a column to add."""
     prepare(docs.sparkSession)
     rows, mark = _marked(docs, text)
-    mentions = _mentions(rows.select(F.col(mark).alias("mark"), F.col(text).alias("text")))
-    later = attempts_needed(mentions, key).where("attempt > 0").select("kind", "form", "attempt")
+    mentions = write_stage(_mentions(rows.select(F.col(mark).alias("mark"), F.col(text).alias("text"))), "mentions")
+    later = write_stage(settle(mentions, key), "settled")
     special = bool(later.limit(1).count())
     if special:
-        pairs = mentions.join(later, ["kind", "form"]).select("mark", F.struct("kind", "form", "attempt").alias("one")).distinct()
+        pairs = mentions.join(later, ["kind", "form"]).select("mark", F.struct("kind", "form", "own", "attempt").alias("one")).distinct()
         exceptions = pairs.groupBy("mark").agg(F.collect_list("one").alias("exceptions")).withColumnRenamed("mark", f"{mark}of")
         rows = rows.join(exceptions, F.col(mark) == F.col(f"{mark}of"), "left").drop(f"{mark}of")
     place, names = docs.columns.index(text), docs.columns
@@ -381,10 +403,10 @@ def replace_in(docs: DataFrame, key: bytes, text: str = "text", entities: str |
 
     def swap(source):
         for batch in batches(source):
-            later_attempts = batch.column(len(names) + 1).to_pylist() if special else [None] * batch.num_rows
+            settled = batch.column(len(names) + 1).to_pylist() if special else [None] * batch.num_rows
             done = [
-                replaced(value, key, {(e["kind"], e["form"]): e["attempt"] for e in own or ()})
-                for value, own in zip(batch.column(place).to_pylist(), later_attempts)
+                replaced(value, key, {(e["kind"], e["form"]): (e["own"], e["attempt"]) for e in own or ()})
+                for value, own in zip(batch.column(place).to_pylist(), settled)
             ]
             columns = batch.columns[: len(names)]
             columns[place] = pa.array([t for t, _ in done], pa.string())
@@ -396,7 +418,7 @@ def replace_in(docs: DataFrame, key: bytes, text: str = "text", entities: str |
 
 
 # The key of the registered query and the pipeline; a real run takes its own from a secret store.
-DEMONSTRATION_KEY = base64.b64decode("bG9ndHJhaWwgc3Vycm9nYXRlcw==")
+DEMONSTRATION_KEY = b"logtrail surrogates"
 
 
 def op5_surrogates(documents: DataFrame) -> DataFrame:

@@ -227,6 +227,51 @@ def test_collisions_are_resolved(spark):
     assert all(a == b for a, b in pairs) and len({a for a, _ in pairs}) == 120
 
 
+def entities_of(rows):
+    """(domain, canonical form, surrogate in small letters) of every mention in (old text, entities)."""
+    for text, entities in rows:
+        for e in entities:
+            name = e["kind"].startswith("name")
+            form = next(f for a, b, _, f in surrogates.detect(text) if (a, b) == (e["start"], e["stop"]))
+            kind = "name-first" if e["kind"].startswith("name-first") else e["kind"]
+            made = e["surrogate"]
+            yield kind, form, made.lower() if name or kind == "email" else re.sub(r"\W", "", made) if kind in ("card", "phone", "iban") else made
+
+
+def test_one_first_name_has_one_surrogate_and_no_two_share_one(spark):
+    """Across titles: 90 first names behind titles of each gender; gender by majority of the texts."""
+    people = [f"K{chr(97 + i // 26)}{chr(97 + i % 26)}m" for i in range(90)]
+    texts = [(3 * i + n, f"{title} {name} Lee") for i, name in enumerate(people) for n, title in enumerate(("Mr", "Mrs", "Dr"))]
+    texts += [(1000, "Mr Kim Lee and Dr Kim Lee"), (1001, "Mr Kim Lee"), (1002, "Mrs Kim Lee"), (1003, "Dr Alex Lee"), (1004, "Mrs Bob Lee")]
+    by_id = dict(texts)
+    rows = [(by_id[r.doc_id], r.entities) for r in surrogates.op5_surrogates(frame(spark, texts)).collect()]
+    pairs = {(form, made) for kind, form, made in entities_of(rows) if kind == "name-first"}
+    assert len(pairs) == len({f for f, _ in pairs}) == len({m for _, m in pairs}) == 93
+    male = {n.lower() for n in surrogates.FIRST_NAMES["latin", "male"]}
+    assert set(dict(pairs)["Kim"].split("-")) <= male
+
+
+def test_op5_over_the_corpus(spark):
+    """Every entity of a table has one surrogate, no two have the same one, and none is an entity of the table."""
+    sf = "/root/testdata/sf0.01"
+    text_of = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = [(text_of[r.doc_id], r.entities) for r in queries.REGISTRY["op5_surrogates"](spark, sf).collect()]
+    found = set(entities_of(rows))
+    real = {(kind, form) for kind, form, _ in found}
+    assert len(found) > 50 and len(found) == len(real) == len({(kind, made) for kind, _, made in found})
+    assert not real & {(kind, made) for kind, _, made in found if kind != "name-first" and kind != "name-last"}
+
+
+def test_crowded_formats_get_longer_values():
+    late = 3 * surrogates.LONGER_AFTER
+    for kind, form, value in (("phone", "01234567", "0123 4567"), ("card", "4111111111111111", "4111 1111 1111 1111"), ("secret", "ab12" * 3, "ab12" * 3)):
+        made = surrogates.laid_out(kind, value, surrogates.surrogate(KEY, kind, form, late))
+        assert len(made) == len(value) + 3 and made[4:5].isspace() == value[4:5].isspace()
+        assert kind != "card" or surrogates.luhn(made.replace(" ", ""))
+    assert surrogates.iban_valid(surrogates.surrogate(KEY, "iban", "DE89370400440532013000", late))
+    assert len(surrogates.surrogate(KEY, "ip", "10.1.2.3", late).split(":")) == 8
+
+
 def test_op5_edges(spark):
     docs = frame(spark, edge_texts() + [(60, PERSONAL), (60, PERSONAL)])
     out = surrogates.replace_in(docs, KEY)
