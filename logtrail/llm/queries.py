@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logtrail.llm import bpe, collision_join, cover_dedup, cover_tree, decontaminate, dialogue_repair, fill_middle, language, licenses, odd_sketch, suffix_dedup, surrogates, toxicity
 from logtrail.llm.common import table
+from logtrail.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 from logtrail.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 
 def _over(operator: Callable[..., DataFrame], *tables: str) -> None:
