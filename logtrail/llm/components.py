@@ -8,8 +8,8 @@ from logtrail.session import write_stage
 
 
 def write_small(df: DataFrame, name: str) -> DataFrame:
-    """Write a table of narrow rows in two files per core at most: fewer, larger tasks for what comes after."""
-    return write_stage(df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism), name)
+    """Write a table of narrow rows; the adaptive planner sizes its files by the data."""
+    return write_stage(df, name)
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -9,15 +9,19 @@ estimate lies far below the limit go. The others are confirmed on full sets.
 Equal sets are one class from the start. Within a bucket of a band, not all pairs
 are formed. First each member meets the bucket's leader, the member that shares
 most buckets with others (of near copies mostly their original). Buckets that
-then still hold several components are contested: the components that meet in
-them form clusters, and every node outside its cluster's largest component is
-compared with all nodes of the cluster, block of nodes by block of nodes, by
-sketch and then on full sets. Only links leave a block. So no link that joins two
-components is lost, a group of near copies costs about one pair per member, and
-no task holds more than two blocks. Every step is written to the shared folder.
-
-With 32 bands of 4 samples a pair at the limit of 0.8 shares no band with chance
-5e-8; the sketch then drops it with chance about 1e-7.
+then still hold several components are contested. Inside such a bucket every node
+outside its largest component is compared with the others by set size and sketch,
+block of nodes by block of nodes. Components with two nodes near by sketch form
+clusters; so texts that only share boilerplate, and meet in a bucket by chance,
+are in no cluster, and clusters do not grow from bucket to bucket. In a cluster
+every node outside the largest component is compared with all nodes, by sketch and
+then on full sets. Only links leave a block. So no link that joins two components
+is lost, a group of near copies costs about one pair per member, and no task holds
+more than two blocks. Every step is written to the shared folder.
+
+With 56 bands of 6 samples a pair at the limit of 0.8 shares no band with chance
+4e-8; the sketch then drops it with chance below 1e-7. A pair at 0.33 shares a
+given band with chance 0.0013.
 
 Defined cases: a text without words has an empty set, is linked with nothing and
 kept; so is a row with a null id (component null). Rows that repeat an id are
@@ -37,13 +41,15 @@ from logtrail.llm.components import components, write_small
 from logtrail.llm.wordhash import ROLL, Words, mix, records, run_hashes
 from logtrail.session import write_stage
 
-BANDS, SAMPLES_IN_BAND = 32, 4
+BANDS, SAMPLES_IN_BAND = 56, 6
 SAMPLES = BANDS * SAMPLES_IN_BAND
-SKETCH_BITS = 256
+SKETCH_BITS = 512
 # Estimated similarity below which a candidate is not confirmed; links have 0.8 and more.
-LEAST_ESTIMATE = 0.5
-# Shingles in a block of contested nodes.
+LEAST_ESTIMATE = 0.62
+# Shingles in a block of a cluster, nodes in a block of a bucket, bytes of block pairs a worker gets at once.
 BLOCK_SHINGLES = 1 << 16
+BLOCK_NODES = 1 << 12
+BATCH_BYTES = 32 << 20
 _ODD = np.random.default_rng(20240229).integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -157,57 +163,76 @@ def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int)
     return both.where(100 * common >= percent * (F.size("one") + F.size("two") - common)).select("a", "b")
 
 
+def _nodes_of(found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The nodes with their component so far."""
+    return nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _compared(dealt: DataFrame, group: str, compare, name: str) -> DataFrame:
+    """a, b that `compare` yields for the blocks of a group, each with every block that has minor nodes; dealt: group, block, own."""
+    blocks = write_stage(dealt.groupBy(group, "block").agg(F.collect_list("own").alias("own"), F.max("own.minor").alias("minors")), f"{name}-blocks")
+    minors = blocks.where("minors").select(group, F.col("block").alias("i"), F.filter("own", lambda x: x["minor"]).alias("one"))
+    pairs = minors.join(blocks.select(group, F.col("block").alias("j"), F.col("own").alias("two")), group)
+
+    def run(source):
+        for batch in batches(source):
+            found = [pair for one, two in zip(batch.column("one"), batch.column("two")) for pair in compare(_Block(one), _Block(two))]
+            yield records("a b", *[pa.array([pair[k] for pair in found], pa.int64()) for k in (0, 1)])
+
+    spread = pairs.repartition(group, "i", "j").select("one", "two")
+    return write_stage(spread.mapInArrow(run, "a long, b long").distinct(), name)
+
+
+def _near_components(buckets: DataFrame, found: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of components with nodes near by sketch in a bucket; enough of them to connect all that are near."""
+    meeting = _nodes_of(found, buckets).groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    contested = write_small(
+        meeting.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"))
+        .where("parts > 1").select("bucket", F.col("top.component").alias("main"), F.ceil(F.col("n") / BLOCK_NODES).alias("blocks")), "contested")
+    held = write_stage(maybe_in(buckets, "bucket", contested).join(contested, "bucket"), "held")
+    described = _nodes_of(found, sketches.select("node", F.col("n_shingles").alias("size"), *_SKETCH))
+    dealt = held.join(described, "node").select(
+        "bucket", F.pmod(F.xxhash64("node"), "blocks").alias("block"),
+        F.struct("node", "component", (F.col("component") != F.col("main")).alias("minor"), "size", *_SKETCH).alias("own"),
+    )
+    return _compared(dealt, "bucket", lambda one, two: _near(one, two, percent), "near")
+
+
 def _contested_links(buckets: DataFrame, found: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the components that meet in a bucket."""
-    held = buckets.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    meeting = held.select("bucket", "component").distinct()
-    hubs = write_small(meeting.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "low"), "hubs")
-    clusters = components(meeting.join(hubs, "bucket").where("component <> low").select(F.col("component").alias("a"), F.col("low").alias("b")))
+    """Links between components with nodes near each other."""
+    clusters = components(_near_components(buckets, found, sketches, percent))
     clusters = clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
-    members = sketches.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")).join(clusters, "component")
-    sized = members.join(sets, "node").withColumn("size", F.size("shingles"))
-    of_component = sized.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    members = _nodes_of(found, sketches.select("node", F.col("n_shingles").alias("size"), *_SKETCH)).join(clusters, "component")
+    of_component = members.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
     of_cluster = write_small(of_component.groupBy("cluster").agg(
         F.max(F.struct("n", "component")).alias("top"), F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("blocks")
     ).select("cluster", F.col("top.component").alias("main"), "blocks"), "clusters")
-    dealt = sized.join(sketches.select("node", *_SKETCH), "node").join(of_cluster, "cluster").select(
+    dealt = members.join(of_cluster, "cluster").join(sets, "node").select(
         "cluster", F.pmod(F.xxhash64("node"), "blocks").alias("block"),
-        F.struct("node", "component", (F.col("component") != F.col("main")).alias("minor"), *_SKETCH, "shingles").alias("own"),
+        F.struct("node", "component", (F.col("component") != F.col("main")).alias("minor"), "size", *_SKETCH, "shingles").alias("own"),
     )
     # A block's size is bounded by BLOCK_SHINGLES on average.
-    blocks = write_stage(dealt.groupBy("cluster", "block").agg(F.collect_list("own").alias("own"), F.max("own.minor").alias("minors")), "blocks")
-    minors = blocks.where("minors").select("cluster", F.col("block").alias("i"), F.filter("own", lambda x: x["minor"]).alias("one"))
-    pairs = minors.join(blocks.select("cluster", F.col("block").alias("j"), F.col("own").alias("two")), "cluster")
-
-    def compare(source):
-        for batch in batches(source):
-            for one, two in zip(batch.column("one"), batch.column("two")):
-                found = list(_compare(_Block(one), _Block(two), percent))
-                yield records("a b", *[pa.array([pair[k] for pair in found], pa.int64()) for k in (0, 1)])
-
-    spread = pairs.repartition("cluster", "i", "j").select("one", "two")
-    return write_small(spread.mapInArrow(compare, "a long, b long").distinct(), "links")
+    return _compared(dealt, "cluster", lambda one, two: _compare(one, two, percent), "contested-links")
 
 
 class _Block:
-    """Nodes of one block as arrays."""
+    """Nodes of one block as arrays; shingles where they were sent along."""
 
     def __init__(self, rows: pa.ListScalar):
         own = rows.values
-        self.node, self.component = (own.field(name).to_numpy() for name in ("node", "component"))
+        self.node, self.component, self.size = (own.field(name).to_numpy() for name in ("node", "component", "size"))
         self.minor = own.field("minor").to_numpy(zero_copy_only=False)
         self.sketch = np.stack([own.field(name).to_numpy() for name in _SKETCH], axis=1).view(np.uint64)
-        shingles = own.field("shingles")
-        self.bounds = shingles.offsets.to_numpy()
-        self.values = shingles.values.to_numpy()
-        self.size = np.diff(self.bounds)
+        if own.type.get_field_index("shingles") >= 0:
+            shingles = own.field("shingles")
+            self.bounds, self.values = shingles.offsets.to_numpy(), shingles.values.to_numpy()
 
     def shingles(self, row: int) -> np.ndarray:
         return self.values[self.bounds[row] : self.bounds[row + 1]]
 
 
-def _compare(one: _Block, two: _Block, percent: int):
-    """Links between nodes of two blocks that are not in one component yet, most similar first."""
+def _candidates(one: _Block, two: _Block, percent: int):
+    """Pairs of rows of two blocks in two components, near by size and sketch, nearest first; told of each pair whether it is one component now."""
     heads: dict[int, int] = {}
 
     def head(component: int) -> int:
@@ -224,17 +249,42 @@ def _compare(one: _Block, two: _Block, percent: int):
         near = np.flatnonzero(bits <= most)
         for j in other[near[np.argsort(bits[near], kind="stable")]]:
             a, b = head(int(one.component[i])), head(int(two.component[j]))
-            if a == b:
-                continue
-            common = len(np.intersect1d(one.shingles(i), two.shingles(j), assume_unique=True))
-            if 100 * common >= percent * (int(one.size[i]) + int(two.size[j]) - common):
+            if a != b and (yield i, int(j)):
                 heads[max(a, b)] = min(a, b)
-                yield int(one.node[i]), int(two.node[j])
+
+
+def _near(one: _Block, two: _Block, percent: int):
+    """Pairs of components; those already connected by others are not repeated."""
+    found = _candidates(one, two, percent)
+    pair = next(found, None)
+    while pair:
+        yield int(one.component[pair[0]]), int(two.component[pair[1]])
+        pair = _after(found, True)
+
+
+def _compare(one: _Block, two: _Block, percent: int):
+    """Links between nodes of two blocks that are not in one component yet."""
+    found = _candidates(one, two, percent)
+    pair = next(found, None)
+    while pair:
+        i, j = pair
+        common = len(np.intersect1d(one.shingles(i), two.shingles(j), assume_unique=True))
+        linked = 100 * common >= percent * (int(one.size[i]) + int(two.size[j]) - common)
+        if linked:
+            yield int(one.node[i]), int(two.node[j])
+        pair = _after(found, linked)
+
+
+def _after(found, linked: bool):
+    try:
+        return found.send(linked)
+    except StopIteration:
+        return None
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """key, n_shingles, component_id, kept of each row. Similarity: shared shingles of all, in percent."""
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     described = write_stage(_described(rows, size), "described")
     linkable = described.where("doc IS NOT NULL AND node IS NOT NULL")
@@ -247,7 +297,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     weights = buckets.join(held, "bucket").groupBy("node").agg(F.sum("n").alias("weight"))
     sketches = write_stage(
         linkable.join(weights, "node").groupBy("node").agg(
-            F.min("doc").alias("doc"), F.min("weight").alias("weight"), *[F.min(name).alias(name) for name in _SKETCH]), "sketches")
+            F.min("doc").alias("doc"), F.min("weight").alias("weight"), F.min("n_shingles").alias("n_shingles"), *[F.min(name).alias(name) for name in _SKETCH]), "sketches")
     sets = write_stage(_full_sets(rows.where("doc IS NOT NULL"), sketches.select("doc", "node"), size).dropDuplicates(["node"]), "sets")
 
     weighed = buckets.join(sketches.select("node", "weight"), "node")
@@ -262,7 +312,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         "component", F.coalesce("component", "node"))
     smallest = classes.groupBy("component").agg(F.min("first").alias("component_id"))
     of_node = classes.join(smallest, "component").select("node", "component_id")
-    out = described.select("doc", "n_shingles", "node").join(of_node, "node", "left")
+    rest = described.where("node IS NULL").select("node", "doc", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    out = described.where("node IS NOT NULL").select("doc", "n_shingles", "node").join(of_node, "node", "left").unionByName(rest)
     component = F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc"))
     return out.select(
         F.col("doc").alias(key), "n_shingles", component.alias("component_id"),

@@ -112,3 +112,23 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7)]
     found = {r.node: r.component for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 103: 100}
+
+
+def test_op8_boilerplate_makes_no_cluster(spark, monkeypatch):
+    """2,000 texts that share a third of their shingles, and some near copies: comparisons stay near linear, no chained cluster."""
+    shared = prose(103, 900, 10**6)
+    texts = [(i, f"{shared} {prose(100, 1000 + i, 10**6)}") for i in range(2000)]
+    texts += [(3000 + i, texts[i][1].replace(" ", " extra ", 1)) for i in range(5)]
+    stages = {}
+
+    def spied(df, name):
+        stages[name] = write(df, name)
+        return stages[name]
+
+    write = odd_sketch.write_stage
+    monkeypatch.setattr(odd_sketch, "write_stage", spied)
+    found = {r.doc_id: r.component_id for r in odd_sketch.near_duplicates(frame(spark, texts), size=4).collect()}
+    assert found == {i: i - 3000 if i >= 3000 else i for i, _ in texts}
+    compared = stages["near-blocks"].selectExpr("sum(size(own) * size(own))").head()[0] or 0
+    assert compared < 150 * len(texts)
+    assert stages["contested-links-blocks"].selectExpr("coalesce(max(size(own)), 0)").head()[0] < 5
