@@ -18,9 +18,11 @@ contexts side by side. A start is repeated if a neighbour shares LENGTH bytes, o
 if its context stands more than once.
 
 Cross-shard merging. An anchor with more contexts than a shard holds is dealt to
-several shards. These hand on their starts ordered by a 64-bit key of the string,
-cut into ranges by binary search; each range is merged by binary search of every
-shard's keys among those of all.
+several shards. These hand on each distinct string once, as a 64-bit key, in order
+and cut into ranges by binary search; each range is merged by binary search of
+every shard's keys among those of all. A string that a shard holds several times
+is decided there and handed on without its places, so the hottest string is one
+entry of each shard.
 
 Defined cases: null and empty texts have no bytes; texts shorter than LENGTH lose
 nothing. Rows that repeat, with or without an id, are separate occurrences. Other
@@ -244,15 +246,15 @@ def _shard(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     split = frame[frame["ranges"] > 0]
     for anchor, own in split.groupby("anchor"):
         keys, ids, places = [], [], []
-        for context, text in zip(own["context"], own["bytes"]):
+        for context, n, text in zip(own["context"], own["n"], own["bytes"]):
             data = np.frombuffer(text, np.uint8)
             at = np.arange(len(data) - length + 1)
             keys.append(Prefixes(data, _TEXT_BASE).of(at, at + length))
             ids.append(np.full(len(at), context))
-            places.append(at)
-        keys, ids, places = np.concatenate(keys), np.concatenate(ids), np.concatenate(places)
-        order = np.argsort(keys, kind="stable")
-        keys, ids, places = keys[order], ids[order], places[order].astype(np.int32)
+            places.append(at if n == 1 else np.full(len(at), -1))
+        keys, first, n = np.unique(np.concatenate(keys), return_index=True, return_counts=True)
+        ids = np.concatenate(ids)[first]
+        places = np.where(n == 1, np.concatenate(places)[first], -1).astype(np.int32)
         ranges = int(own["ranges"].iloc[0])
         borders = [-(-(k << 64) // ranges) for k in range(ranges)]
         cuts = [*np.searchsorted(keys, np.array(borders, np.uint64)), len(keys)]
@@ -263,18 +265,19 @@ def _shard(frame: pd.DataFrame, length: int) -> pd.DataFrame:
 
 
 def _merge(frame: pd.DataFrame) -> pd.DataFrame:
-    """Starts of one anchor and key range whose key stands in another shard too."""
+    """Starts of one anchor and key range whose key stands in another shard too and that no shard has decided."""
     keys = [np.frombuffer(k, np.uint64) for k in frame["keys"]]
     everything = np.sort(np.concatenate(keys), kind="stable")
     out = []
     for own, ids, places in zip(keys, frame["contexts"], frame["places"]):
-        total = np.searchsorted(everything, own, "right") - np.searchsorted(everything, own, "left")
-        mine = np.searchsorted(own, own, "right") - np.searchsorted(own, own, "left")
-        again = total > mine
-        ids, places = np.frombuffer(ids, np.int64)[again], np.frombuffer(places, np.int32)[again]
-        for context in np.unique(ids):
-            at = np.sort(places[ids == context]).tolist()
-            out.append((int(frame["anchor"].iloc[0]), int(context), at, at))
+        ids, places = np.frombuffer(ids, np.int64), np.frombuffer(places, np.int32)
+        elsewhere = np.searchsorted(everything, own, "right") - np.searchsorted(everything, own, "left") > 1
+        again = np.flatnonzero(elsewhere & (places >= 0))
+        again = again[np.lexsort((places[again], ids[again]))]
+        contexts, at = ids[again], places[again]
+        cuts = np.flatnonzero(contexts[1:] != contexts[:-1]) + 1
+        for context, starts in zip(contexts[np.append(0, cuts)] if len(at) else (), np.split(at, cuts)):
+            out.append((int(frame["anchor"].iloc[0]), int(context), starts.tolist(), starts.tolist()))
     return pd.DataFrame(out, columns=["anchor", "context", "firsts", "lasts"], dtype=object)
 
 

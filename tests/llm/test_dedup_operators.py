@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from llm_cases import SF, cover_brute, edge_texts, frame, near_brute, prose, sha, suffix_brute
@@ -62,6 +63,31 @@ def test_op3_edges_and_split_anchors(spark, shard_bytes):
     assert suffix_dedup.op3_suffix_dedup(frame(spark, [])).count() == 0
 
 
+def test_op3_merge_takes_a_hot_string_once_a_shard():
+    """5,000 contexts of one anchor hold one string: each shard hands it on once, and only shards that hold it once ask for a verdict."""
+    rng = np.random.default_rng(8)
+    hot = rng.integers(97, 123, 60, dtype=np.uint8).tobytes()
+    own = [rng.integers(97, 123, 12, dtype=np.uint8).tobytes() + hot + rng.integers(97, 123, 12, dtype=np.uint8).tobytes() for _ in range(5001)]
+    strings = [[text[at : at + 60] for at in range(25)] for text in own]
+    everywhere = Counter(string for each in strings for string in each)
+    shards, distinct = [], []
+    for number, (low, high) in enumerate(((0, 3000), (3000, 5000), (5000, 5001))):
+        frame = pd.DataFrame({"anchor": 1, "context": range(low, high), "n": 1, "ranges": 2, "shard": number, "bytes": own[low:high]})
+        shards.append(suffix_dedup._shard(frame, 60))
+        distinct.append(Counter(string for each in strings[low:high] for string in each))
+    handed = pd.concat(shards)
+    decided, handed = handed[handed["keys"].isnull()], handed[handed["keys"].notnull()]
+    for number, own_strings in enumerate(distinct):
+        ranges = handed[handed["shard"] == number]
+        assert sum(map(len, ranges["keys"])) // 8 == len(own_strings)
+        asked = sum((np.frombuffer(places, np.int32) >= 0).sum() for places in ranges["places"])
+        assert asked == sum(n == 1 for n in own_strings.values())
+    merged = pd.concat([suffix_dedup._merge(group) for _, group in handed.groupby("split_range")])
+    found = {(context, at) for context, firsts, lasts in pd.concat([decided, merged])[["context", "firsts", "lasts"]].values
+             for first, last in zip(firsts, lasts) for at in range(first, last + 1)}
+    assert found == {(context, at) for context, each in enumerate(strings) for at, string in enumerate(each) if everywhere[string] > 1}
+
+
 def test_suffix_array_and_prefixes():
     rng = np.random.default_rng(3)
     contexts = [bytes(rng.integers(97, 99, 80, dtype=np.uint8)) for _ in range(6)]
