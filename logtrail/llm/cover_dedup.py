@@ -81,6 +81,8 @@ def _later_copies(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
 
     marks = write_stage(rows.mapInArrow(describe, "doc long, one long, two long"), "marks").select("doc", F.struct("one", "two").alias("mark"))
     firsts = marks.groupBy("mark").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    # Written, so that the join stands apart from the aggregation and Spark can split the mark of a text with very many copies.
+    firsts = write_stage(firsts.select("mark", "first"), "first-copies")
     of_doc = marks.groupBy("doc").agg(F.min("mark").alias("mark"), F.max("mark").alias("other"))
     copies = of_doc.where("mark = other").join(firsts, "mark").where("doc > first").select("doc")
     return write_stage(copies, "copies"), write_stage(of_doc.where("mark <> other").select("doc"), "several")
