@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import base64
+import math
+import random
 import re
 import struct
+import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
@@ -55,6 +59,50 @@ def test_labels_of_held_out_rows_are_not_read(spark):
     assert {r.lang_pred for r in language.op6_language_id(wrong).collect()} == {"en"}
 
 
+def grams(text):
+    """Buckets of the n-grams of one text, one by one."""
+    codes = [ord(c.lower()) if c.isalpha() and len(c.lower()) == 1 else ord(c) if c.isalpha() else 32 for c in text or ""]
+    for n in range(1, language.ORDERS + 1):
+        for at in range(len(codes) - n + 1):
+            if set(codes[at : at + n]) != {32}:
+                rolled = 0
+                for code in codes[at : at + n]:
+                    rolled = (rolled * 0x01000193 + code) & 0xFFFFFFFF
+                mixed = ((rolled ^ (0x9E3779B9 * n & 0xFFFFFFFF)) * 0x85EBCA6B) & 0xFFFFFFFF
+                mixed ^= mixed >> 15
+                yield ((mixed * 0xC2B2AE35) & 0xFFFFFFFF) >> (32 - language.BITS)
+
+
+def test_op6_equals_brute_force(spark):
+    """Counts and scores by loops; the texts reach the operator in batches."""
+    languages = {"aa": "abcdefg ", "bb": "efghijk, ", "cc": "àéñ日本 x"}
+    rng = random.Random(4)
+    texts = []
+    for i in range(90):
+        label = rng.choice(sorted(languages))
+        texts.append((i, "".join(rng.choice(languages[label]) for _ in range(rng.randrange(0, 60))), None if i % 17 == 0 else label))
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(5)
+    counts, seen = {}, Counter()
+    for i, text, label in texts:
+        if label and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts.setdefault(label, Counter()).update(grams(text))
+            seen[label] += 1
+    buckets = 1 << language.BITS
+    for r in language.op6_language_id(docs).collect():
+        text = texts[r.doc_id][1]
+        logs = {
+            label: math.log(seen[label] / sum(seen.values()))
+            + sum(math.log((own[g] + 0.5) / (sum(own.values()) + 0.5 * buckets)) for g in grams(text))
+            for label, own in counts.items()
+        }
+        if not any(c.isalpha() for c in text):
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        top = max(logs.values())
+        assert r.lang_pred == max(logs, key=logs.get)
+        assert abs(r.score - 1 / sum(math.exp(x - top) for x in logs.values())) < 1e-9
+
+
 # --- toxicity ---------------------------------------------------------------------
 
 
@@ -63,6 +111,31 @@ def toxic_frame(spark):
     return frame(spark, texts), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
 
 
+def test_op1_convolution_equals_loops():
+    """Every filter's maximum over a text's own windows, whatever text comes next; windows at the end of a text are cut there."""
+    rng = np.random.default_rng(6)
+    net = toxicity._start(rng, np.arange(1 << toxicity.BITS) < 50)
+    net = net._replace(offsets=rng.normal(0, 0.1, len(net.offsets)).astype(np.float32))
+    lengths = [0, 1, 2, 3, 4, 0, 9, 1, 1, 30, 2, 0]
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    ids = rng.integers(0, 50, bounds[-1]).astype(np.int32)
+    best, where = toxicity._maxima(net, ids, bounds, places=True)
+    for row, (first, last) in enumerate(zip(bounds, bounds[1:])):
+        for column in range(len(net.offsets)):
+            width, kernel = toxicity.WIDTHS[column // toxicity.FILTERS], net.filters[column // toxicity.FILTERS][:, column % toxicity.FILTERS]
+            sums = []
+            for start in range(first, last):
+                window = [net.embedding[net.rows[word]] for word in ids[start : min(start + width, last)]]
+                sums.append(sum(float(vector @ kernel[k * toxicity.DIM : (k + 1) * toxicity.DIM]) for k, vector in enumerate(window)))
+            if sums:
+                assert abs(best[row, column] - max(0, max(sums) + net.offsets[column])) < 1e-5
+                assert abs(sums[where[row, column] - first] - max(sums)) < 1e-5
+            else:
+                assert best[row, column] == 0
+    alone = [toxicity._maxima(net, ids[a:b], np.array([0, b - a]))[0][0] for a, b in zip(bounds, bounds[1:])]
+    assert np.allclose(best, alone, atol=1e-5)
+
+
 def test_op1_finds_a_toxic_word(spark):
     found = toxicity.op1_toxicity(*toxic_frame(spark)).collect()
     held = [(r.predicted, int(r.doc_id % 4 == 0)) for r in found if r.held_out]
