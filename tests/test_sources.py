@@ -17,7 +17,7 @@ from logtrail.sources.bronze import read_bronze, write_bronze
 from logtrail.sources.geo_tables import (
     ASN_BLOCK_SCHEMA, CITY_BLOCK_SCHEMA, read_geo_cache, read_network_blocks, append_geo_cache,
 )
-from logtrail.sources.raw_events import bronze_rows, resolve_collection, utc
+from logtrail.sources.raw_events import bronze_rows, in_window, read_raw_events, resolve_collection, utc
 from logtrail.sources.registers import stored_ids
 from logtrail.sources.silver import merge_silver, read_days, read_silver, silver_days
 
@@ -91,6 +91,32 @@ def test_undated_rows_are_rejected(spark, tmp_path):
     assert (row.year, row.month, row.day) == ("2024", "03", "01")
 
 
+def test_window_and_undated_rows_are_one_scan(spark, tmp_path):
+    lines = [("a", DAY, "s", "x"), ("b", None, "s", "y"), ("c", DAY - 48 * 60 * MINUTE, "s", "z")]
+    (tmp_path / "raw.json").write_text(raw_json(lines))
+    run = resolve_collection("2024-03-01T01:00:00")
+    raw = read_raw_events(spark, str(tmp_path / "raw.json"))
+    wanted = in_window(raw, run, undated=True)
+    assert sorted(row.eventId for row in wanted.collect()) == ["a", "b"]
+    assert [row.eventId for row in in_window(raw, run).collect()] == ["a"]
+    assert wanted._jdf.queryExecution().executedPlan().toString().count("FileScan json") == 1
+
+
+def test_collections_over_compressed_raw_files(spark, tmp_path):
+    """Raw files of the collections are compressed; three runs over them give the same lines as the rows themselves."""
+    rows = [(e, datetime(2024, 1, 2 if e < 60 else 7, e % 24, e % 60), e, "purchase", 1.0, '{"k": 5}') for e in range(120)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    from pathlib import Path
+
+    from testbed.job_queries import collection_runs, collections
+
+    raw = sorted(Path(collections(spark, str(tmp_path))["base"].removeprefix("file:")).glob("raw/part-*"))
+    assert raw and all(path.name.endswith(".json.gz") for path in raw)
+    lines = {(row.collection_type, row.collection_window_start[:10]): row.lines for row in collection_runs(spark, str(tmp_path)).collect()}
+    assert lines[("manual_reprocess", "2024-01-02")] > 400 and lines[("incremental", "2024-01-06")] > 400
+
+
 def test_column_union_and_required_columns(spark, tmp_path):
     spark.createDataFrame([("1", "t", "s", "m")], "event_id string, timestamp_utc string, log_stream string, message string").write.parquet(f"{tmp_path}/b/a")
     spark.createDataFrame([("2", "t", "s", "m", "g")], "event_id string, timestamp_utc string, log_stream string, message string, log_group string").write.parquet(f"{tmp_path}/b/b")
