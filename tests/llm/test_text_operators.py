@@ -12,6 +12,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -161,6 +162,23 @@ def test_scores_do_not_depend_on_other_columns(spark):
     assert scores[0] == scores[1]
 
 
+def test_op1_learns_from_all_rows(spark):
+    """More rows than one task learns from: every row counts for the known words, the rounds, the calibration and the thresholds."""
+    docs, labels = toxic_frame(spark)
+    rows = docs.join(labels, "doc_id")
+    start = {r.key for r in toxicity.bounded_sample(rows.selectExpr("doc_id AS key"), "key", 100).collect()}
+    marked = rows.withColumn("text", F.when(F.col("doc_id").isin(start), F.col("text")).otherwise(F.concat("text", F.lit(" zzlatecomer"))))
+    model = toxicity.fit(marked, fit_rows=100)
+    bucket = toxicity.words(pa.array(["zzlatecomer"]))[0][0]
+    assert model.network.rows[bucket] != toxicity.RARE
+    assert abs(model.share - rows.agg(F.avg("toxic")).first()[0]) < 1e-9
+    scores = {r.doc_id: r.score for r in toxicity.predict(docs, model).collect()}
+    right = [(scores[r.doc_id] >= 0.5) == bool(r.toxic) for r in rows.collect()]
+    assert sum(right) / len(right) > 0.9
+    again = toxicity.fit(marked, fit_rows=100)
+    assert {r.doc_id: round(r.score, 4) for r in toxicity.predict(docs, again).collect()} == {i: round(x, 4) for i, x in scores.items()}
+
+
 # --- licenses ---------------------------------------------------------------------
 
 
