@@ -63,3 +63,15 @@ def test_scans_read_only_needed_columns(spark):
     core = write_stage(queries.visited(spark, SF), "core")
     text = plan(core.where("ip <> ''").select("ip").distinct())
     assert re.search(r"PushedFilters: \[.*ip.*\], ReadSchema: struct<ip:string>", text)
+
+
+def test_lines_are_made_by_code_the_jvm_compiles(spark, capsys):
+    """A generated method of more than 8,000 bytes stays in the JVM's interpreter."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan shows no code before it runs
+    try:
+        fixture.bronze(spark, SF).select("event_id", "log_stream", "timestamp_ms", "message", "collection_id").explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
