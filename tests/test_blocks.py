@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logtrail.operators import carry
-from logtrail.operators.blocks import assign_starts, build_blocks, cut_streams, log_lines
+from logtrail.operators.blocks import assign_starts, build_blocks, cut_streams, line_columns, log_lines
 from logtrail.operators.dedup import dedup_events
 from logtrail.schemas import BLOCK_COLUMNS
 
@@ -179,3 +179,18 @@ def test_iso_text_times(spark):
     df = spark.createDataFrame(data, "event_id string, log_stream string, timestamp_utc string, message string")
     (block,) = build_blocks(dedup_events(df)).select("*", F.unix_millis("start_ts").alias("ms")).collect()
     assert block.block_text == "START RequestId: a\nx\ny" and block.ms % 1000 == 0 and block.log_group == ""
+
+
+def test_one_time_column_stands_for_both(spark):
+    """Milliseconds first, the text where they are missing; the text form does not enter the deduplication."""
+    data = [("1", "s", 0, "bad", "START RequestId: a", "c1"), ("2", "s", None, "1970-01-01T00:00:01+00:00", "x", "c1"),
+            ("3", "s", 2000, None, "END of RequestId: a", "c1"), ("4", "s", None, None, "END RequestId: a", "c1"),
+            ("4", "s", 3000, None, "END RequestId:a", "c2"), (None, None, 4000, "", "y", None)]
+    bronze = spark.createDataFrame(data, "event_id string, log_stream string, timestamp_ms long, timestamp_utc string, message string, collection_id string")
+    narrow = line_columns(bronze)
+    assert dict(narrow.dtypes) == {
+        "event_id": "string", "log_stream": "string", "message": "string", "collection_id": "string", "timestamp_utc": "timestamp"
+    }
+    assert build_blocks(dedup_events(narrow)).collect() == build_blocks(dedup_events(bronze)).collect()
+    (block,) = build_blocks(dedup_events(narrow)).collect()
+    assert block.block_text == "START RequestId: a\nx\nEND of RequestId: a\nEND RequestId: a"

@@ -3,7 +3,9 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from logtrail.operators import classify
 from logtrail.operators.classify import classify_accesses
 from logtrail.schemas import CLASSIFY_COLUMNS
 
@@ -114,3 +116,12 @@ def test_truthiness(spark, value, expected):
 def test_active_items(spark, items, avoided):
     row = one(spark, '{"event": "lambda_execution", "active_items": %s}' % items, decision(False))
     assert row.deploy_avoided is avoided
+
+
+def test_served_in_any_case_and_only_where_it_may_be_lowered(spark):
+    texts = ["x Servindo site via proxy S3\ny", "SERVINDO SITE VIA PROXY s3", "servindo site via proxy s 3", "servindo site via proxy \u017f3", "SERV\u0130NDO site via proxy S3", "s3", ""]
+    rows = spark.createDataFrame([(text,) for text in texts], "block_text string")
+    text = F.col("block_text")
+    found = rows.select(classify._served(text).alias("served"), F.lower(text).contains(classify.SITE_SERVED_TEXT).alias("lowered"))
+    assert [row.served for row in found.collect()] == [row.lowered for row in found.collect()] == [True, True] + [False] * 5
+    assert "CASE WHEN" in found.select("served")._jdf.queryExecution().executedPlan().toString()

@@ -75,3 +75,13 @@ def test_lines_are_made_by_code_the_jvm_compiles(spark, capsys):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert sizes and max(sizes) < 8000
+
+
+def test_lines_of_an_execution_are_grouped_as_the_window_sorted_them(spark):
+    text = plan(queries.executions(spark, SF))
+    assert "SortAggregate" in text and "ObjectHashAggregate" not in text
+
+
+def test_the_summary_of_the_ranges_sorts_marks_without_texts(spark):
+    below_sort = r"Sort \[log_stream#\d+ ASC NULLS FIRST, _chunk#\d+L ASC NULLS FIRST\], false, 0\n[\s|:]*\+- Generate inline"
+    assert re.search(below_sort, plan(queries.executions(spark, SF)))
