@@ -19,6 +19,7 @@ from logtrail.sources.geo_tables import (
 )
 from logtrail.sources.raw_events import bronze_rows, in_window, read_raw_events, resolve_collection, utc
 from logtrail.sources.registers import stored_ids
+from logtrail.sources import silver as silver_module
 from logtrail.sources.silver import merge_silver, read_days, read_silver, silver_days
 
 NOW = "2024-03-03T00:00:00+00:00"
@@ -257,3 +258,28 @@ def test_increments_equal_one_run(spark, site):
     cuts = [DAY + 20 * MINUTE + 2500, DAY + 60 * MINUTE + 500, DAY + int(1439.95 * MINUTE) + 4500, DAY + 2 * 1440 * MINUTE]
     parts = silver_of(spark, site, cuts, "parts")
     assert parts == whole
+
+
+def test_merge_writes_the_rows_of_silver_once(spark, tmp_path, monkeypatch):
+    """Beside the new rows and the table itself, a merge writes only the ids and days of what it stores."""
+    widths, stage = {}, silver_module.write_stage
+
+    def measured(df, name):
+        widths[name] = len(df.columns)
+        return stage(df, name)
+
+    monkeypatch.setattr(silver_module, "write_stage", measured)
+    base, wide = f"{tmp_path}/silver", len(SILVER_SCHEMA.fields)
+
+    def rows(*items):
+        row = {f.name: {"string": "", "double": None, "boolean": False}[f.dataType.simpleString()] for f in SILVER_SCHEMA.fields}
+        made = [{**row, "request_id": rid, "timestamp_utc": at, "block_closed": closed, "raw_path": path} for rid, at, closed, path in items]
+        return spark.createDataFrame([tuple(r[f.name] for f in SILVER_SCHEMA.fields) for r in made], SILVER_SCHEMA)
+
+    merge_silver(rows(("a", "2024-03-01T00:00:00Z", True, "old"), ("b", "2024-03-02T00:00:00Z", False, "old"), ("c", "", True, "old")), base)
+    kept = merge_silver(rows(("a", "2024-03-03T00:00:00Z", False, "new"), ("b", "2024-03-03T00:00:00Z", True, "new"), ("d", "2024-03-03T00:00:00Z", True, "new")), base)
+    assert {r.request_id: (r.raw_path, r.day) for r in read_silver(spark, base).collect()} == {
+        "a": ("old", "01"), "b": ("new", "03"), "c": ("old", None), "d": ("new", "03")}
+    assert silver_days(spark, base) == {"", "2024-03-01", "2024-03-03"}
+    assert sorted(map(tuple, kept.select("request_id", "day").collect())) == [("b", "2024-03-03"), ("d", "2024-03-03")]
+    assert [name for name, columns in widths.items() if columns >= wide] == ["silver-new"]
